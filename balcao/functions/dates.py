@@ -16,13 +16,12 @@ SLASH_TEXT = rf"^{_DAY}/{_MONTH}/{_YEAR}$"
 DASH_TEXT = rf"^{_DAY}-{_MONTH}-{_YEAR}$"
 
 
-def parse_date(text: Column) -> Column:
-    """ISO, d/m/y or d-m-y naming a day that exists; NULL otherwise.
+def date_of(bare: Column) -> Column:
+    """Date from stripped text; see ``parse_date``.
 
     Every form is rewritten to ISO text and cast once, which stays in generated
     code and rejects days such as 31 February.
     """
-    bare = tx.strip(text)
     iso = (
         F.when(bare.rlike(ISO_TEXT), F.translate(bare, " ", ""))
         .when(bare.rlike(SLASH_TEXT), F.regexp_replace(bare, SLASH_TEXT, "$3-$2-$1"))
@@ -31,6 +30,11 @@ def parse_date(text: Column) -> Column:
     return iso.try_cast("date")
 
 
+def parse_date(text: Column) -> Column:
+    """ISO, d/m/y or d-m-y naming a day that exists; NULL otherwise."""
+    return date_of(tx.strip(text))
+
+
 def date_form(text: Column) -> Column:
     """Which written form a date text has."""
     bare = tx.strip(text)

@@ -12,24 +12,32 @@ PRICE = "decimal(12,2)"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
-def _plain(text: Column) -> Column:
+def bare_amount(text: Column) -> Column:
+    """Price text without the currency sign and outer blanks."""
+    return tx.strip(F.replace(text, F.lit("R$"), F.lit("")))
+
+
+def plain_number(bare: Column) -> Column:
     """The amount as plain digits with a decimal dot, NULL when it is none.
 
     A comma makes the comma the decimal mark and every dot a thousands mark.
     """
-    bare = tx.strip(F.replace(text, F.lit("R$"), F.lit("")))
     dotted = F.when(bare.contains(","), F.translate(bare, ",.", ".")).otherwise(bare)
     return F.when(dotted.rlike(PLAIN_NUMBER), dotted)
 
 
-def parse_money(text: Column) -> Column:
-    """Price to two places, half up; NULL when unreadable or too wide."""
-    return _plain(text).try_cast(PRICE)
+def price_of(plain: Column) -> Column:
+    """Price to two places, half up; NULL when too wide."""
+    return plain.try_cast(PRICE)
 
 
-def is_negative(text: Column) -> Column:
+def negative_of(plain: Column) -> Column:
     """True below zero, even where two places round it to zero."""
-    return _plain(text).rlike(r"^-.*[1-9]")
+    return plain.startswith("-") & plain.rlike("[1-9]")
+
+
+def parse_money(text: Column) -> Column:
+    return price_of(plain_number(bare_amount(text)))
 
 
 def money_form(text: Column) -> Column:

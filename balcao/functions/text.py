@@ -13,13 +13,6 @@ from balcao import vocab
 
 WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
-# Hangul syllables decompose arithmetically (Unicode, section 3.12).
-HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
-LEADS = "".join(map(chr, range(0x1100, 0x1113)))
-VOWELS = "".join(map(chr, range(0x1161, 0x1176)))
-TAILS = "".join(map(chr, range(0x11A8, 0x11C3)))
-
-
 def strip(text: Column) -> Column:
     """Drop leading and trailing blanks of any kind, not only spaces."""
     return F.btrim(text, F.lit(WHITESPACE))
@@ -30,66 +23,35 @@ def is_blank(text: Column) -> Column:
 
 
 @functools.cache
-def _accent_tables() -> tuple[str, str, str, dict[str, str]]:
-    """(chars, their one-char bases, marks to delete, chars with longer bases)."""
-    chars, bases, marks, longer = [], [], [], {}
-    for point in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= point <= 0xDFFF or HANGUL_FIRST <= point <= HANGUL_LAST:
-            continue
-        char = chr(point)
+def _accent_tables() -> tuple[str, str]:
+    """(characters to change, their bases); characters past the bases are dropped.
+
+    Covers every character whose canonical decomposition keeps one base once
+    the nonspacing marks are gone, and the marks themselves.
+    """
+    chars, bases, marks = [], [], []
+    for char in map(chr, range(0x80, sys.maxunicode + 1)):
         if unicodedata.category(char) == "Mn":
             marks.append(char)
             continue
         base = "".join(
             c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"
         )
-        if base == char:
-            continue
-        if len(base) == 1:
+        if len(base) == 1 and base != char:
             chars.append(char)
             bases.append(base)
-        else:
-            longer[char] = base
-    return "".join(chars), "".join(bases), "".join(marks), longer
-
-
-def _hangul(char: Column) -> Column:
-    index = F.ascii(char) - HANGUL_FIRST
-    tail = index % 28
-    return F.concat(
-        F.substring(F.lit(LEADS), F.floor(index / 588).cast("int") + 1, 1),
-        F.substring(F.lit(VOWELS), F.floor((index % 588) / 28).cast("int") + 1, 1),
-        F.when(tail == 0, F.lit("")).otherwise(F.substring(F.lit(TAILS), tail, 1)),
-    )
+    return "".join(chars + marks), "".join(bases)
 
 
 def strip_accents(text: Column) -> Column:
     """Canonical decomposition with the combining marks dropped.
 
-    ASCII text passes through. One ``translate`` covers every character whose
-    decomposition has a single base; the few with several bases take a per
-    character path that only rows holding them evaluate.
+    One ``translate`` in generated code; text of single-byte characters passes
+    through. Characters that decompose into several bases (Hangul syllables and
+    some Indic vowel signs, which carry no accent) stay composed.
     """
-    chars, bases, marks, longer = _accent_tables()
-    simple = F.translate(text, chars + marks, bases)
-    table = F.create_map(*[F.lit(part) for pair in longer.items() for part in pair])
-    expanded = F.array_join(
-        F.transform(
-            F.split(simple, ""),
-            lambda c: F.coalesce(
-                F.try_element_at(table, c),
-                F.when(c.between(chr(HANGUL_FIRST), chr(HANGUL_LAST)), _hangul(c)),
-                c,
-            ),
-        ),
-        "",
-    )
-    several = f"[{chr(HANGUL_FIRST)}-{chr(HANGUL_LAST)}{''.join(longer)}]"
-    return (
-        F.when(text.rlike(r"^\p{ASCII}*$"), text)
-        .when(simple.rlike(several), expanded)
-        .otherwise(simple)
-    )
+    chars, bases = _accent_tables()
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(F.translate(text, chars, bases))
 
 
 def sentence_case(text: Column) -> Column:
@@ -97,34 +59,51 @@ def sentence_case(text: Column) -> Column:
     return F.concat(F.initcap(F.substring(text, 1, 1)), F.lower(F.substring(text, 2, 2**31 - 1)))
 
 
-def normalize_category(text: Column) -> Column:
-    bare = strip_accents(strip(text))
+def category_of(bare: Column) -> Column:
+    """Category from stripped text without accents."""
     return F.when(bare != "", sentence_case(bare))
 
 
-def normalize_status(text: Column) -> Column:
-    status = sentence_case(strip_accents(strip(text)))
+def status_of(bare: Column) -> Column:
+    """Status from stripped text without accents; NULL outside the domain."""
+    status = sentence_case(bare)
     return F.when(status.isin(vocab.STATUSES), status)
 
 
+def normalize_category(text: Column) -> Column:
+    return category_of(strip_accents(strip(text)))
+
+
+def normalize_status(text: Column) -> Column:
+    return status_of(strip_accents(strip(text)))
+
+
+def location_parts(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "/")
+
+
+def location_of(parts: Column) -> Column:
+    """City, state and country from the parts of a location text."""
+    city, state, country = (strip(F.get(parts, F.lit(i))) for i in range(3))
+    whole = (F.size(parts) == 3) & (city != "") & (state != "") & (country != "")
+
+    def place(*values: Column) -> Column:
+        return F.struct(*[v.alias(n) for v, n in zip(values, ("city", "state", "country"))])
+
+    return F.when(whole, place(city, state, country)).otherwise(
+        place(*map(F.lit, vocab.UNKNOWN_LOCATION))
+    )
+
+
 def parse_location(text: Column) -> Column:
     """``City/State/Country`` as a struct; anything else is the unknown place."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), "/"), strip)
-    whole = (F.size(parts) == 3) & ~F.exists(parts, lambda p: p == "")
-    city, state, country = vocab.UNKNOWN_LOCATION
-    return F.when(
-        whole,
-        F.struct(
-            F.get(parts, F.lit(0)).alias("city"),
-            F.get(parts, F.lit(1)).alias("state"),
-            F.get(parts, F.lit(2)).alias("country"),
-        ),
-    ).otherwise(
-        F.struct(F.lit(city).alias("city"), F.lit(state).alias("state"), F.lit(country).alias("country"))
-    )
+    return location_of(location_parts(text))
 
 
-def parse_quantity(text: Column) -> Column:
+def quantity_of(bare: Column) -> Column:
     """A whole number with optional sign; ``3.0`` is not one."""
-    bare = strip(text)
     return F.when(bare.rlike(r"^[+-]?\d+$"), bare.try_cast("int"))
+
+
+def parse_quantity(text: Column) -> Column:
+    return quantity_of(strip(text))

@@ -133,11 +133,18 @@ class Forecast:
             self._errors(vocab.REGRESSION, "fitted")
         )
 
+    def band(self) -> DataFrame:
+        """Half width of the forecast band per series: 1.96 deviations of the test residuals."""
+        residual = F.col("y") - F.col("fitted")
+        return self.test.groupBy("series").agg(
+            (F.lit(vocab.BAND_SIGMAS) * F.stddev_samp(residual)).alias("width")
+        )
+
     def projection(self) -> DataFrame:
         """The next months from a fit on the whole series, with the band.
 
-        The band is constant: 1.96 deviations of the test residuals. A month
-        of year takes its own effect, whatever other months are projected.
+        The band is constant over the horizon. A month of year takes its own
+        effect, whatever other months are projected.
         """
         ends = self.points.filter("points_after = 0").select(
             "series", "month_start", "t", F.explode(F.sequence(F.lit(1), F.lit(self.horizon))).alias("step")
@@ -147,13 +154,9 @@ class Forecast:
             F.add_months("month_start", F.col("step")).alias("month_start"),
             (F.col("t") + F.col("step")).alias("t"),
         ).withColumn("month", F.month("month_start"))
-        residual = F.col("y") - F.col("fitted")
-        width = self.test.groupBy("series").agg(
-            (F.lit(vocab.BAND_SIGMAS) * F.stddev_samp(residual)).alias("width")
-        )
         return (
             predict(ahead, fit_trend_seasonal(self.points), "forecast")
-            .join(width, "series", "left")
+            .join(self.band(), "series", "left")
             .select(
                 "series", "month_start", "forecast",
                 (F.col("forecast") - F.col("width")).alias("band_low"),

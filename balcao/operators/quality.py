@@ -22,54 +22,86 @@ CLEAN_COLUMNS = [
 _MAX_AMOUNT = 10**12
 
 
-def clean_fields() -> dict[str, Column]:
-    """Typed fields from the text columns; NULL where the text does not parse."""
-    place = tx.parse_location(F.col("location"))
+def _prepared(staging: DataFrame) -> DataFrame:
+    """The raw row, each text stripped once, and the intermediate forms parsing uses repeatedly.
+
+    Separate projections: the optimizer merges two only where that repeats no
+    costly expression.
+    """
+    kept = [c for c in staging.columns if c == "ordinal"]
+    stripped = staging.select(
+        *kept,
+        F.struct(*vocab.STAGING_COLUMNS).alias("raw"),
+        *[tx.strip(F.col(c)).alias(c) for c in vocab.STAGING_COLUMNS if c not in ("unit_price", "location")],
+        money.bare_amount(F.col("unit_price")).alias("unit_price"),
+        tx.location_parts(F.col("location")).alias("parts"),
+    )
+    return stripped.withColumns(
+        {
+            "category": tx.strip_accents(F.col("category")),
+            "status": tx.strip_accents(F.col("status")),
+            "unit_price": money.plain_number(F.col("unit_price")),
+            "place": tx.location_of(F.col("parts")),
+        }
+    )
+
+
+def _typed() -> dict[str, Column]:
+    """Typed fields from prepared text; NULL where unreadable."""
     return {
-        "txn_id": tx.strip(F.col("txn_id")),
-        "order_id": tx.strip(F.col("order_id")),
-        "sale_date": dates.parse_date(F.col("sale_date")),
-        "customer_id": tx.strip(F.col("customer_id")),
-        "product": tx.strip(F.col("product")),
-        "category": tx.normalize_category(F.col("category")),
-        "unit_price": money.parse_money(F.col("unit_price")),
-        "quantity": tx.parse_quantity(F.col("quantity")),
-        "city": place["city"],
-        "state": place["state"],
-        "country": place["country"],
-        "payment_method": tx.strip(F.col("payment_method")),
-        "status": tx.normalize_status(F.col("status")),
+        "txn_id": F.col("txn_id"),
+        "order_id": F.col("order_id"),
+        "sale_date": dates.date_of(F.col("sale_date")),
+        "customer_id": F.col("customer_id"),
+        "product": F.col("product"),
+        "category": tx.category_of(F.col("category")),
+        "unit_price": money.price_of(F.col("unit_price")),
+        "quantity": tx.quantity_of(F.col("quantity")),
+        "city": F.col("place.city"),
+        "state": F.col("place.state"),
+        "country": F.col("place.country"),
+        "payment_method": F.col("payment_method"),
+        "status": tx.status_of(F.col("status")),
     }
 
 
 def _reject_reason() -> Column:
-    """First failing rule over a row holding ``raw`` and the typed fields."""
-    def raw(name: str) -> Column:
-        return F.col(f"raw.{name}")
-
+    """First failing rule over the typed fields and the marks taken from the text."""
     def typed(name: str) -> Column:
         return F.col(f"clean.{name}")
 
-    rules = [(tx.is_blank(raw(f)), vocab.NULL_KEY + name) for f, name in vocab.KEY_FIELDS.items()]
+    rules = [(F.col(f"clean.blank_{f}"), vocab.NULL_KEY + name) for f, name in vocab.KEY_FIELDS.items()]
     rules += [
         (typed("sale_date").isNull(), vocab.BAD_DATE),
         (typed("unit_price").isNull(), vocab.BAD_PRICE),
-        (money.is_negative(raw("unit_price")), vocab.NEGATIVE_PRICE),
+        (typed("negative"), vocab.NEGATIVE_PRICE),
         (typed("quantity").isNull(), vocab.BAD_QUANTITY),
         (typed("quantity") <= 0, vocab.NON_POSITIVE_QUANTITY),
         (typed("status").isNull(), vocab.BAD_STATUS),
         (typed("category").isNull(), vocab.NULL_CATEGORY),
     ]
-    rules += [(raw(f).isNull(), vocab.NULL_REQUIRED + name) for f, name in vocab.REQUIRED_FIELDS.items()]
+    rules += [(typed(f).isNull(), vocab.NULL_REQUIRED + name) for f, name in vocab.REQUIRED_FIELDS.items()]
     rules.append((typed("unit_price") * typed("quantity") >= _MAX_AMOUNT, vocab.AMOUNT_OVERFLOW))
     # coalesce keeps the first label and, unlike a CASE, nests nothing.
     return F.coalesce(*[F.when(test, label) for test, label in rules])
 
 
 def tag(staging: DataFrame) -> DataFrame:
-    """Staging with ``raw`` (the row as it came), ``clean`` (typed) and ``reason`` (NULL if valid)."""
-    clean = F.struct(*[c.alias(name) for name, c in clean_fields().items()])
-    rows = staging.select("ordinal", F.struct(*vocab.STAGING_COLUMNS).alias("raw"), clean.alias("clean"))
+    """Staging with ``raw`` (the row as it came), ``clean`` (typed) and ``reason`` (NULL if valid).
+
+    The typed fields pass through a one-row generator. Without it the optimizer
+    copies every parsing expression into each filter on ``reason`` and then
+    reasons over the copies, which takes it minutes.
+    """
+    prepared = _prepared(staging)
+    marks = {f"blank_{f}": F.coalesce(F.col(f), F.lit("")) == "" for f in vocab.KEY_FIELDS if f != "unit_price"}
+    marks["blank_unit_price"] = tx.is_blank(F.col("raw.unit_price"))
+    marks["negative"] = money.negative_of(F.col("unit_price"))
+    fields = {**_typed(), **marks}
+    kept = [c for c in staging.columns if c == "ordinal"]
+    typed = prepared.select(*kept, "raw", *[c.alias(f"_{name}") for name, c in fields.items()])
+    clean = F.struct(*[F.col(f"_{name}").alias(name) for name in fields])
+    rows = typed.select(*kept, "raw", F.explode(F.array(clean)).alias("clean"))
     return rows.withColumn("reason", _reject_reason())
 
 
@@ -79,7 +111,9 @@ def rejected(tagged: DataFrame) -> DataFrame:
 
 def valid(tagged: DataFrame) -> DataFrame:
     """Valid rows, repeats included, as typed columns with ``ordinal``."""
-    return tagged.filter("reason is null").select("clean.*", "ordinal")
+    return tagged.filter("reason is null").select(
+        *[F.col(f"clean.{c}") for c in CLEAN_COLUMNS], "ordinal"
+    )
 
 
 def dedup_keep_first(rows: DataFrame) -> DataFrame:

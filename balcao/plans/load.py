@@ -78,7 +78,10 @@ def sales_of(house: Warehouse) -> DataFrame:
 def run_model(house: Warehouse) -> None:
     """Replace the forecast and metrics tables from the stored sales."""
     series = written(forecast.revenue_series(sales_of(house)), "series")
-    model = forecast.Forecast(series)
+    store_model(house, forecast.Forecast(series))
+
+
+def store_model(house: Warehouse, model: forecast.Forecast) -> None:
     house.replace("monthly_forecast", model.table())
     house.replace("model_metrics", model.metrics())
 
