@@ -20,6 +20,15 @@ from balcao.operators.kpis import monthly_series
 MONEY = "decimal(24,2)"
 
 
+def settled(value: Column) -> Column:
+    """Money rounded half up, with float noise below six places dropped first.
+
+    Means of whole cents often end in exactly half a cent, where the order of
+    a floating-point sum would decide the rounding.
+    """
+    return value.cast("decimal(30,6)").cast(MONEY)
+
+
 def revenue_series(sales: DataFrame, *keys: str) -> DataFrame:
     """Monthly completed revenue as (series, month_start, y); one series without ``keys``."""
     name = F.concat_ws("/", *keys) if keys else F.lit("total")
@@ -117,14 +126,14 @@ class Forecast:
             F.when(F.col("sse") == 0, 1.0).otherwise(0.0)
         )
 
-        def known(value: Column, kind: str) -> Column:
-            return F.when(F.col("complete"), value).cast(kind)
+        def known(value: Column) -> Column:
+            return F.when(F.col("complete"), value)
 
         return sums.select(
             "series", F.lit(model).alias("model"),
-            known(F.col("mae"), MONEY).alias("mae"),
-            known(F.col("mape"), "decimal(18,4)").alias("mape"),
-            known(r2, "decimal(18,4)").alias("r2"),
+            settled(known(F.col("mae"))).alias("mae"),
+            known(F.col("mape")).cast("decimal(18,4)").alias("mape"),
+            known(r2).cast("decimal(18,4)").alias("r2"),
         )
 
     def metrics(self) -> DataFrame:
@@ -170,7 +179,7 @@ class Forecast:
 
         def rows(df: DataFrame, phase: str, **given: str) -> DataFrame:
             values = [
-                (F.col(given[c]).cast(MONEY) if c in given else nothing).alias(c)
+                (settled(F.col(given[c])) if c in given else nothing).alias(c)
                 for c in ("actual", "fitted", "forecast", "band_low", "band_high")
             ]
             month = year_month("month_start").alias("year_month")

@@ -274,12 +274,12 @@ def month_text():
 
 series_query("series_index", lambda m: m.points.select("series", month_text(), "y", "t", "points_after", "month"))
 series_query("temporal_split", lambda m: m.points.select("series", month_text(), "phase"))
-series_query("moving_average", lambda m: m.points.select("series", month_text(), F.round("baseline", 2).alias("baseline")))
+series_query("moving_average", lambda m: m.points.select("series", month_text(), forecast.settled(F.col("baseline")).alias("baseline")))
 series_query("fit_trend_seasonal", lambda m: forecast.fit_trend_seasonal(m.points).select(
-    "series", "month", F.round("slope", 2).alias("slope"), F.round("effect", 2).alias("effect")))
+    "series", "month", forecast.settled(F.col("slope")).alias("slope"), forecast.settled(F.col("effect")).alias("effect")))
 series_query("forecast_metrics", forecast.Forecast.metrics)
-series_query("project", lambda m: m.projection().select("series", month_text(), F.round("forecast", 2).alias("forecast")))
-series_query("band", lambda m: m.band().withColumn("width", F.round("width", 2)))
+series_query("project", lambda m: m.projection().select("series", month_text(), forecast.settled(F.col("forecast")).alias("forecast")))
+series_query("band", lambda m: m.band().withColumn("width", forecast.settled(F.col("width"))))
 series_query("forecast_table", forecast.Forecast.table)
 series_query("next_month_headline", lambda m: forecast.next_month_headline(m.table(), m.metrics()))
 total_query("forecast_total", forecast.Forecast.table)
