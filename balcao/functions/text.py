@@ -14,8 +14,14 @@ from balcao import vocab
 WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
 def strip(text: Column) -> Column:
-    """Drop leading and trailing blanks of any kind, not only spaces."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Drop leading and trailing blanks of any kind, not only spaces.
+
+    Trimming a set of characters costs a microsecond a value, so text that
+    starts and ends in a visible ASCII character skips it.
+    """
+    ends = [F.substring(text, 1, 1), F.substring(text, -1, 1)]
+    settled = ends[0].between("!", "~") & ends[1].between("!", "~")
+    return F.when(settled, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def is_blank(text: Column) -> Column:

@@ -19,17 +19,16 @@ from balcao.session import written
 _ROW_BITS = 33
 
 
-def number_rows(
-    df: DataFrame, order: list[Column], running: tuple[str, ...] = (), partitions: int | None = None
-) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], running: tuple[str, ...] = ()) -> DataFrame:
     """Add ``row_num`` and ``n_rows``; ``run_x`` and ``total_x`` per ``running`` column.
 
     ``order`` must end in a unique key. The placed rows are written once, since
-    range bounds are sampled anew whenever a plan is planned again.
+    range bounds are sampled anew whenever a plan is planned again. There are
+    at most ``spark.sql.shuffle.partitions`` ranges; small ones are merged at
+    run time, which keeps their order.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = written(
-        df.repartitionByRange(count, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id()),
         "placed",
@@ -37,7 +36,7 @@ def number_rows(
 
     sums = [F.sum(c).alias(f"_sum_{c}") for c in running]
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), *sums)
-    # At most ``count`` rows from here to the broadcast.
+    # One row per range from here to the broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     offsets = sizes.select(

@@ -21,6 +21,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        # The JVM never compiles a method beyond this size; wider generated
+        # stages run faster as separate operators.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
