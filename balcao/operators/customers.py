@@ -190,12 +190,13 @@ def _gaps(sales: DataFrame) -> DataFrame:
 
 
 def purchase_intervals(sales: DataFrame) -> DataFrame:
-    """Distribution of the gaps, one row."""
+    """Distribution of the gaps, one row even without gaps."""
     gaps = _gaps(sales).withColumn("metric", F.lit("gap_days"))
     probs = {"median": (1, 2), "p75": (3, 4), "p90": (9, 10), "p95": (19, 20)}
     spread = distribution(counted(gaps, ["metric"], "gap_days"), ["metric"], "gap_days", probs)
-    return spread.select(
-        F.col("n").alias("n_intervals"), F.col("minimum").cast("int"), "median", "mean",
+    metrics = sales.sparkSession.createDataFrame([("gap_days",)], "metric string")
+    return metrics.join(spread, "metric", "left").select(
+        F.coalesce("n", F.lit(0).cast("long")).alias("n_intervals"), F.col("minimum").cast("int"), "median", "mean",
         "p75", "p90", "p95", F.col("maximum").cast("int"),
     )
 

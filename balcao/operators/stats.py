@@ -10,6 +10,7 @@ from balcao.operators.ordered import average_ranks, counted, distribution
 
 QUARTILES = {"q1": (1, 4), "median": (1, 2), "q3": (3, 4)}
 ITEM_MEASURES = ["unit_price", "quantity", "amount"]
+DESCRIBED = ["unit_price", "quantity", "item_amount", "order_amount"]
 CUSTOMER_MEASURES = ["recency_days", "frequency", "monetary"]
 
 
@@ -27,7 +28,8 @@ def describe_sales(sales: DataFrame) -> DataFrame:
     )
     counts = counted(items, ["metric"], "value").unionByName(counted(orders, ["metric"], "value"))
     spread = distribution(counts, ["metric"], "value", QUARTILES)
-    return spread.select("metric", "minimum", "q1", "median", "mean", "q3", "maximum", "stddev")
+    metrics = sales.sparkSession.createDataFrame([(m,) for m in DESCRIBED], "metric string")
+    return metrics.join(spread, "metric", "left").select("metric", "minimum", "q1", "median", "mean", "q3", "maximum", "stddev")
 
 
 def price_outliers(sales: DataFrame) -> DataFrame:
@@ -61,8 +63,9 @@ def _matrix(df: DataFrame, measures: list[str], pair: dict[tuple[str, str], Colu
     for a in measures:
         for b in measures:
             key = f"{a}|{b}" if (a, b) in pair else f"{b}|{a}"
-            value = F.lit(1.0) if a == b else F.col(f"`{key}`")
-            cells.append(F.struct(F.lit(a).alias("measure_a"), F.lit(b).alias("measure_b"), value.alias(name)))
+            cells.append(
+                F.struct(F.lit(a).alias("measure_a"), F.lit(b).alias("measure_b"), F.col(f"`{key}`").alias(name))
+            )
     return values.select(F.inline(F.array(*cells)))
 
 
@@ -70,9 +73,23 @@ def _pairs(measures: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(measures) for b in measures[i + 1 :]]
 
 
+def _varies(spread: Column) -> Column:
+    """Correlation of a measure with itself: NULL when it is constant."""
+    return F.when(spread > 0, F.lit(1.0))
+
+
 def pearson_matrix(df: DataFrame, measures: list[str]) -> DataFrame:
     """Pearson correlation of every pair of ``measures`` in one pass."""
-    pair = {(a, b): F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in _pairs(measures)}
+    def double(m: str) -> Column:
+        return F.col(m).cast("double")
+
+    # The built-in corr divides by zero on a constant measure in ANSI mode.
+    pair = {
+        (a, b): F.try_divide(
+            F.covar_pop(double(a), double(b)), F.stddev_pop(double(a)) * F.stddev_pop(double(b))
+        )
+        for a, b in _pairs(measures)
+    } | {(m, m): _varies(F.var_pop(double(m))) for m in measures}
     return _matrix(df, measures, pair, "pearson")
 
 
@@ -95,7 +112,7 @@ def spearman_matrix(df: DataFrame, measures: list[str]) -> DataFrame:
     pair = {
         (a, b): F.try_divide(total(a, b), F.sqrt(total(a, a)) * F.sqrt(total(b, b)))
         for a, b in _pairs(measures)
-    }
+    } | {(m, m): _varies(total(m, m)) for m in measures}
     return _matrix(combos, measures, pair, "spearman")
 
 

@@ -29,11 +29,16 @@ def key(row):
     return [(v is not None, str(type(v)), v) for v in row]
 
 
+def plain(row):
+    """NaN as NULL: correlation with a constant is either."""
+    return tuple(None if v != v else v for v in row)
+
+
 def difference(spark, con, name, sf_dir):
     """None when equal, else what differs."""
     df = contract.queries()[name](spark, sf_dir)
     names = sorted(df.columns)
-    ours = sorted((tuple(r[c] for c in names) for r in df.collect()), key=key)
+    ours = sorted((plain(r[c] for c in names) for r in df.collect()), key=key)
     sql = contract.oracle_sql().get(name)
     if sql is None:
         return None if ours else "no SQL, no rows"
@@ -43,7 +48,7 @@ def difference(spark, con, name, sf_dir):
         return f"columns {names} vs {sorted(rel.columns)}"
     wrong = [f"{c}: {k} vs {types[c]}" for c, k in df.dtypes if types[c] not in KINDS.get(k, {k})]
     at = [rel.columns.index(c) for c in names]
-    theirs = sorted((tuple(r[i] for i in at) for r in rel.fetchall()), key=key)
+    theirs = sorted((plain(r[i] for i in at) for r in rel.fetchall()), key=key)
     if len(ours) != len(theirs):
         return f"rows {len(ours)} vs {len(theirs)}"
     bad = [(a, b) for a, b in zip(ours, theirs) if a != b]
