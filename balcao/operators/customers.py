@@ -145,23 +145,21 @@ def retention_curve(sales: DataFrame) -> DataFrame:
     """Mean retention by months since, weighted by cohort size.
 
     Every month a cohort could have been seen counts, with zero where nobody
-    came back: the sizes unfold over that span and the cells add their counts.
+    came back. Month 0 holds the cohort's size and unfolds it over that span,
+    so one pass over the cells adds both sums.
     """
-    cells = _cohort_cells(sales)
     last = completed(sales).agg(F.trunc(F.max("sale_date"), "MM").alias("m")).scalar()
-    sizes = (
-        cells.filter("months_since = 0")
-        .select(
-            F.explode(F.sequence(F.lit(0), months_apart(last, F.col("cohort_start")))).alias("months_since"),
-            F.col("retained").alias("size"),
-        )
-        .groupBy("months_since")
-        .agg(F.sum("size").alias("size"))
+    start = F.col("months_since") == 0
+    span = F.sequence(F.lit(0), months_apart(last, F.col("cohort_start")))
+    steps = _cohort_cells(sales).withColumn(
+        "at", F.explode(F.when(start, span).otherwise(F.array("months_since")))
     )
-    seen = cells.groupBy("months_since").agg(F.sum("retained").alias("seen"))
-    return sizes.join(seen, "months_since", "left").select(
-        "months_since",
-        percent(F.coalesce("seen", F.lit(0)), F.col("size")).alias("mean_pct"),
+    size = F.sum(F.when(start, F.col("retained")))
+    seen = F.sum(F.when(F.col("at") == F.col("months_since"), F.col("retained")).otherwise(0))
+    return (
+        steps.groupBy(F.col("at").alias("months_since"))
+        .agg(size.alias("size"), seen.alias("seen"))
+        .select("months_since", percent(F.col("seen"), F.col("size")).alias("mean_pct"))
     )
 
 

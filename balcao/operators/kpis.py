@@ -72,11 +72,10 @@ def customer_activity(sales: DataFrame) -> DataFrame:
         .groupBy("customer_id", month_of("sale_date").alias("month_start"))
         .agg(F.max("sale_date").alias("last_sale"), F.sum("amount").alias("revenue"))
     )
-    own = Window.partitionBy("customer_id")
-    by_month = own.orderBy("month_start")
+    by_month = Window.partitionBy("customer_id").orderBy("month_start")
     return months.withColumns(
         {
-            "first_month": F.min("month_start").over(own),
+            "first_month": F.min("month_start").over(by_month),
             "previous_month": F.lag("month_start").over(by_month),
             "next_month": F.lead("month_start").over(by_month),
             "next_sale": F.lead("last_sale").over(by_month),

@@ -95,7 +95,7 @@ def distribution(counts: DataFrame, groups: list[str], value: str, probs: dict[s
     count, so no task holds the values of a group.
     """
     placed = number_rows(counts, [*map(F.col, groups), F.col(value)], running=("weight",))
-    v, w = F.col(value).cast("decimal(20,2)"), F.col("weight")
+    v, w = F.col(value).cast("decimal(18,2)"), F.col("weight")
     whole = placed.groupBy(*groups).agg(
         F.sum(w).alias("n"),
         F.min(F.col("run_weight") - w).alias("_start"),

@@ -17,7 +17,7 @@ CUSTOMER_MEASURES = ["recency_days", "frequency", "monetary"]
 def describe_sales(sales: DataFrame) -> DataFrame:
     """Min, quartiles, mean, max and deviation of price, quantity, item and order amount."""
     base = completed(sales)
-    wide = "decimal(24,2)"
+    wide = "decimal(18,2)"
     items = base.select(
         F.col("unit_price").cast(wide).alias("unit_price"),
         F.col("quantity").cast(wide).alias("quantity"),

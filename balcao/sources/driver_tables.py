@@ -28,13 +28,25 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _joined(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores where the scan has fewer splits than cores.
+
+    A file of one row group is read by one task, and the feed costs much work
+    per row. Larger inputs have more splits than cores and stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def _joined(spark: SparkSession, sf_dir: str, wanted: set[str], spread: bool = False) -> DataFrame:
     """Item rows with only the tables the wanted columns come from.
 
     No join is hinted: sizes are known from the files, so small sides are
     broadcast below the engine's threshold and shuffled beyond it.
     """
     rows = _read(spark, sf_dir, "lineitem")
+    if spread:
+        rows = _spread(rows)
     if wanted & _ORDER:
         rows = rows.join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     if wanted & _PLACE:
@@ -109,7 +121,7 @@ def dirty_feed(spark: SparkSession, sf_dir: str, clashing_ids: bool = False) ->
     its own prime, so classes overlap freely and rows with two faults occur.
     ``clashing_ids`` names rows by order and line only, which repeats often.
     """
-    rows = _joined(spark, sf_dir, set(SALES_COLUMNS))
+    rows = _joined(spark, sf_dir, set(SALES_COLUMNS), spread=True)
     rows = rows.withColumn("cents", _cents()).withColumn(
         "k",
         F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17 + F.col("l_partkey") * 7

@@ -130,3 +130,34 @@ def test_full_load_is_idempotent_and_feeds_the_views(spark, tmp_path):
     got = spark.sql("SELECT sum(pedidos) AS n, sum(faturamento) AS f FROM vw_kpis_mensais").first()
     total = spark.sql("SELECT sum(valor_total) AS f FROM fato_vendas").first()["f"]
     assert got["f"] == total and spark.sql("SELECT max(pct_acumulado) AS p FROM vw_pareto_produtos").first()["p"] == 100
+    load.run_load(spark, path, root, sale_keys=True)
+    keyed = spark.read.parquet(house.path("fact_sales")).select("sale_key").orderBy("sale_key").collect()
+    assert [r["sale_key"] for r in keyed] == list(range(1, 31))
+
+
+def test_skewed_customer_splits_in_the_fact_join(spark):
+    """A customer holding most rows is split at run time once the dimension is too large to broadcast."""
+    rows = spark.range(200_000).select(
+        F.concat(F.lit("T"), "id").alias("txn_id"), F.lit("O").alias("order_id"), F.current_date().alias("sale_date"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("C"), F.col("id") % 5000)).otherwise("HOT").alias("customer_id"),
+        F.lit("P").alias("product"), F.lit("K").alias("category"), F.lit("X").alias("city"), F.lit("Y").alias("state"),
+        F.lit("Z").alias("country"), F.lit(1).alias("quantity"), F.lit(2).cast("decimal(12,2)").alias("unit_price"),
+        F.sha2(F.col("id").cast("string"), 512).alias("payment_method"), F.lit("Entregue").alias("status"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tables = load.star_from(rows)
+        joined = rows.select("txn_id", "customer_id", "payment_method").join(tables["dim_customer"], "customer_id")
+        assert joined.collect() and "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert tables["fact_sales"].count() == 200_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
