@@ -14,14 +14,18 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract  # noqa: E402
 from balcao.session import local_session  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages", "benchmark",
+    "labels", "conversations",
+]
 KINDS = {"bigint": {"BIGINT"}, "double": {"DOUBLE"}, "string": {"VARCHAR"}, "boolean": {"BOOLEAN"}}
 
 
 def connect(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        if (Path(sf_dir) / f"{t}.parquet").exists():
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con
 
 
