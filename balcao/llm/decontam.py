@@ -189,7 +189,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
         "hits",
     )
     rows = docs.select(F.struct("*").alias("row"))
-    joined = rows.join(hits, F.col("row")[key].eqNullSafe(F.col("key")), "left")
+    # Merged at any size, as hits grow with the corpus.
+    joined = rows.join(hits.hint("merge"), F.col("row")[key].eqNullSafe(F.col("key")), "left")
     found = _extended(F.coalesce(F.col("row")[text], F.lit("")), F.col("hits"))
     return joined.select("row", found.alias("found")).select("row", "found.*")
 
