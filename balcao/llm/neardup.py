@@ -8,12 +8,16 @@ similarity of 0.8 share such a run: of sets within SKETCH values always, as at
 most a fifth of their union's values differ, and of larger ones but for about 1
 of 10^10 pairs at 0.8 exactly.
 
-Classes that share a run are checked against one hub of the list at a time, and
-lists whose classes are linked already are done, so a large group of similar
-classes costs about its size per round, not its square. What is still open after
-HUB_ROUNDS is compared in full. A checked pair passes the sizes, then the
-similarity estimated from the smallest values of both sketches' union, and is
-confirmed on the full sets of both texts.
+Short lists are compared in full. Classes of long lists, which may share no more
+than a common passage, are listed anew by single values of their full sets: sets
+that are similar have 0.8 of their values in common, so if each leaves out one
+less than that, those that most of these classes have, they still share one of
+the rest, and the first they share leaves enough behind it in both. Long lists of these are checked against one hub at a time, first the class with
+the longest lists, and lists whose classes are linked already are done, so a
+large group of similar classes costs about its size per round, not its square.
+What is still open after HUB_ROUNDS is compared in full. A checked pair passes
+the sizes, then the similarity estimated from the smallest values of both
+sketches' union, and is confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -35,9 +39,9 @@ SHINGLE = 5
 #: The least similarity, as a percentage.
 PERCENT = 80
 SKETCH = 64
-HUB_ROUNDS = 3
-#: Lists of so many classes are compared in full at once.
-SMALL_LIST = 8
+HUB_ROUNDS = 1
+#: Lists of so many classes are short.
+SHORT_LIST = 8
 #: Larger sets are confirmed only if so many percent of the union's sketch are shared: 11 deviations below 80.
 LEAST_ESTIMATE = 45
 
@@ -85,6 +89,16 @@ def _set_of(text: str, shingle: int) -> np.ndarray:
     return next(shingle_sets(pa.array([text]), shingle))
 
 
+def _full_set(text: Column, shingle: int) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def full(texts: pa.Array) -> pa.Array:
+        sets = list(shingle_sets(texts, shingle))
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else [], pa.int64()))
+
+    return full(text)
+
+
 def _similar(a: Column, b: Column, shingle: int, percent: int) -> Column:
     @F.arrow_udf("boolean")
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -106,6 +120,18 @@ def _same_row(id_: str, digest: str) -> Column:
     return F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col("digest") == F.col(digest))
 
 
+def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """``x, y``: classes of one list with different labels that have enough values from it on in common."""
+    x, y = (
+        rows.select("run", F.struct("node", "n").alias(c), (F.col("n") - F.col("place")).alias(f"left_{c}"), F.col("label").alias(f"label_{c}"))
+        for c in "xy"
+    )
+    enough = (100 + percent) * F.least("left_x", "left_y") >= percent * (F.col("x.n") + F.col("y.n"))
+    return x.join(y, "run").where(
+        (F.col("label_x") != F.col("label_y")) & (F.col("x.node") < F.col("y.node")) & enough
+    ).select("x", "y")
+
+
 class _Search:
     """The tables of one run over ``doc_id, text``."""
 
@@ -126,28 +152,63 @@ class _Search:
         )
 
     def lists(self) -> DataFrame:
-        """``run, node, n`` of all runs that several classes have."""
+        """``run, node, n, place, short, weight`` of all lists that several classes are in.
+
+        ``place`` tells how many values of the class come before that of the list;
+        ``weight`` of a class adds up the lengths of its lists by value.
+        """
         runs = F.expr(
             "transform(sequence(0, size(sketch) - 2), i -> xxhash64(if(i = 0, null, sketch[i - 1]), sketch[i], sketch[i + 1]))"
         )
         own = self.classes.where(F.size("sketch") > 1).select(F.explode(runs).alias("run"), "node", "n")
-        shared = written(
-            own.groupBy("run").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("run"),
-            "runs",
+        shared = written(own.groupBy("run").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "runs")
+        by_run = written(own.join(shared, "run"), "by-run")
+        self.texts = self.listed_texts(by_run)
+        by_value = written(self.rare_values(by_run.where(F.col("length") > SHORT_LIST).select("node").distinct()), "rare")
+        lengths = by_value.groupBy("run").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
+        by_value = by_value.join(lengths, "run")
+        weights = by_value.groupBy("node").agg(F.sum("length").alias("weight"))
+        short = by_run.where(F.col("length") <= SHORT_LIST).select(
+            "run", "node", "n", F.lit(0).cast("long").alias("place"), F.lit(True).alias("short"), F.lit(0).cast("long").alias("weight")
         )
-        return written(own.join(shared, "run"), "lists")
+        return written(
+            short.unionByName(
+                by_value.join(weights, "node").select("run", "node", "n", "place", (F.col("length") <= SHORT_LIST).alias("short"), "weight")
+            ),
+            "lists",
+        )
+
+    def rare_values(self, nodes: DataFrame) -> DataFrame:
+        """``run, node, n, place``: the values of each of ``nodes`` that the fewest of them have, a fifth and one more."""
+        texts = self.texts.join(nodes, "node", "left_semi")
+        sets = texts.select("node", F.explode(_full_set(F.col("text"), self.shingle)).alias("value"))
+        values = written(sets, "values")
+        common = values.groupBy("value").agg(F.count(F.lit(1)).alias("holders"))
+        ordered = Window.partitionBy("node").orderBy("holders", "value")
+        whole = Window.partitionBy("node")
+        ranked = values.join(common, "value").select(
+            "node", "value", "holders", F.row_number().over(ordered).alias("place"), F.count(F.lit(1)).over(whole).alias("n")
+        )
+        least = F.call_function("div", F.col("n") * self.percent + 99, F.lit(100))
+        return ranked.where((F.col("place") <= F.col("n") - least + 1) & (F.col("holders") > 1)).select(
+            F.xxhash64(F.lit("value"), "value").alias("run"), "node", "n", (F.col("place") - 1).cast("long").alias("place")
+        )
+
+    def listed_texts(self, lists: DataFrame) -> DataFrame:
+        """``node, text`` of the classes in lists, one row each.
 
-    def texts(self, lists: DataFrame) -> DataFrame:
-        """``node, text`` of the classes in lists that can be similar to one beyond its sketch, one row each."""
+        The rows are merged with those wanted at any size: the corpus is moved
+        once, and nothing that grows with it is broadcast.
+        """
         wanted = written(
-            self.classes.where(100 * F.col("n") > SKETCH * self.percent).join(lists.select("node").distinct(), "node", "left_semi")
+            self.classes.join(lists.select("node").distinct(), "node", "left_semi")
             .select("node", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")),
             "wanted",
         )
-        rows = self.rows.withColumn("digest", _digest(F.col("text"))).join(wanted, _same_row("_id", "_digest"))
+        rows = self.rows.withColumn("digest", _digest(F.col("text"))).join(wanted.hint("merge"), _same_row("_id", "_digest"))
         return written(rows.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    def links(self, pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
         """The pairs ``a, b`` that are similar."""
         def side(table: DataFrame, key: str, *columns: str) -> DataFrame:
             return table.select(F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in columns])
@@ -164,7 +225,7 @@ class _Search:
         ).where("likely")
         told = written(told, "likely")
         confirmed = (
-            told.where("NOT whole").join(side(texts, "b", "text"), "b").join(side(texts, "a", "text"), "a")
+            told.where("NOT whole").join(side(self.texts, "b", "text"), "b").join(side(self.texts, "a", "text"), "a")
             .where(_similar(F.col("text_a"), F.col("text_b"), self.shingle, self.percent)).select("a", "b")
         )
         return told.where("whole").select("a", "b").unionByName(confirmed)
@@ -172,30 +233,29 @@ class _Search:
     def pairs(self, lists: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame | None:
         """Pairs ``a, b`` of unlinked classes that share a run, of sizes that can be similar; None if no list is open.
 
-        Lists of up to SMALL_LIST classes give all pairs in the first turn, longer
-        ones those with one hub, and in the last turn all that are still open.
+        Short lists give all pairs in the first turn; long ones those with one
+        hub, and in the last turn all that are still open.
         """
+        long = lists.where("NOT short")
         if labels is None:
-            open_ = lists.withColumn("label", F.col("node"))
+            open_ = long.withColumn("label", F.col("node"))
         else:
-            open_ = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            open_ = long.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        chosen = F.struct(-F.col("weight"), "node") if turn == 0 else F.xxhash64("node", F.lit(turn))
         several = open_.groupBy("run").agg(
-            F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("size"),
-            F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn))).alias("hub"),
-        ).where("least < most").where(F.lit(turn == 0) | (F.col("size") > SMALL_LIST))
-        several = written(several.select("run", "size", "hub"), "open")
-        if several.isEmpty():
+            F.min("label").alias("least"), F.max("label").alias("most"), F.min_by(F.struct("node", "n", "label"), chosen).alias("hub"),
+        ).where("least < most")
+        several = written(several.select("run", "hub"), "open")
+        if turn and several.isEmpty():
             return None
-        whole = several.where(F.lit(turn == HUB_ROUNDS) | (F.col("size") <= SMALL_LIST)).select("run")
-        rest = written(open_.join(whole, "run"), "rest")
-        x, y = (rest.select("run", F.struct("node", "n").alias(c), F.col("label").alias(f"label_{c}")) for c in "xy")
-        near = x.join(y, "run").where((F.col("label_x") != F.col("label_y")) & (F.col("x.node") < F.col("y.node"))).select("x", "y")
-        if turn < HUB_ROUNDS:
-            hubs = several.where(F.col("size") > SMALL_LIST).select("run", "hub")
-            near = near.unionByName(
-                open_.join(hubs, "run").where(F.col("label") != F.col("hub.label"))
-                .select(F.struct("node", "n").alias("x"), F.struct("hub.node", "hub.n").alias("y"))
+        if turn == HUB_ROUNDS:
+            near = _all_pairs(open_.join(several.select("run"), "run"), self.percent)
+        else:
+            near = open_.join(several, "run").where(F.col("label") != F.col("hub.label")).select(
+                F.struct("node", "n").alias("x"), F.struct("hub.node", "hub.n").alias("y")
             )
+        if turn == 0:
+            near = near.unionByName(_all_pairs(lists.where("short").withColumn("label", F.col("node")), self.percent))
         sizes = 100 * F.least("x.n", "y.n") >= self.percent * F.greatest("x.n", "y.n")
         return near.where(sizes).select(
             F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
@@ -207,7 +267,6 @@ class _Search:
         involved = written(
             self.classes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n", "sketch"), "involved"
         )
-        texts = self.texts(lists)
         links = checked = labels = None
         for turn in range(HUB_ROUNDS + 1):
             pairs = self.pairs(lists, labels, turn)
@@ -217,7 +276,7 @@ class _Search:
                 pairs = pairs.join(checked, ["a", "b"], "left_anti")
             pairs = written(pairs, "pairs")
             checked = pairs if checked is None else checked.unionByName(pairs)
-            found = written(self.links(pairs, texts, involved), "links")
+            found = written(self.links(pairs, involved), "links")
             if found.isEmpty():
                 continue
             links = found if links is None else links.unionByName(found)
