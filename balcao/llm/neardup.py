@@ -322,10 +322,9 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     told = written(
         repeated.where("times > 1 OR NOT keeps").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "keeps"), "told"
     )
-    marked = docs.select(
-        F.struct("*").alias("row"), F.col(key).alias("doc_id"), _digest(F.col(text)).alias("digest")
-    ).join(told, _same_row("_id", "_digest"), "left")
-    alone = marked.where("keeps IS NULL").select("row.*")
+    marked = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc_id"), _digest(F.col(text)).alias("digest"))
+    # Merged at any size: rows that go grow with the corpus. Keepers repeated as a whole are few as a rule.
+    others = marked.join(told.hint("merge"), _same_row("_id", "_digest"), "left_anti").select("row.*")
+    again = marked.join(written(told.where("keeps"), "told-again"), _same_row("_id", "_digest"))
     once = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.to_json("row")))
-    kept = marked.where("keeps").withColumn("once", once).where("once = 1").select("row.*")
-    return alone.unionByName(kept)
+    return others.unionByName(again.withColumn("once", once).where("once = 1").select("row.*"))
