@@ -24,6 +24,8 @@ from balcao.session import written
 PERIOD = 1000
 #: Rows of a block.
 BLOCK_ROWS = 32
+#: Slots that one output file holds in a row.
+RUN_SLOTS = 128
 #: Hex digits of the shuffled order that a bucket of rows shares: 4096 buckets of each source.
 _BUCKET_DIGITS = 3
 
@@ -146,13 +148,14 @@ def mix(docs: DataFrame, weights: DataFrame, key: str = "doc_id", source: str =
 
 
 def in_order(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of ``mix`` in their order over the output files: ``columns`` of the row, its ``mix_slot`` and ``mix_place``.
+    """The rows of ``mix``: ``columns`` of the row, its ``mix_slot`` and ``mix_place``.
 
-    Columns of the row that have one of these two names are left out.
+    Runs of RUN_SLOTS slots stay in one file, in order. Columns of the row that
+    have one of the two names are left out.
     """
     own = [F.col("row")[c].alias(c) for c in columns if c.lower() not in ("mix_slot", "mix_place")]
     return (
-        mixed.repartitionByRange("slot", "place")
+        mixed.repartition(_div(F.col("slot"), F.lit(RUN_SLOTS)))
         .sortWithinPartitions("slot", "place")
         .select(*own, F.col("slot").alias("mix_slot"), F.col("place").alias("mix_place"))
     )
