@@ -10,7 +10,8 @@ from balcao.functions import text as tx
 
 _YEAR = r"((?!0000)\d{4})"
 _MONTH = r"(1[0-2]|0?[1-9])"
-_DAY = r" ?(3[01]|[12]\d|0?[1-9])"
+# A blank may stand in for the zero of a one-digit day.
+_DAY = r"(3[01]|[12]\d|0[1-9]| ?[1-9])"
 ISO_TEXT = rf"^{_YEAR}-{_MONTH}-{_DAY}$"
 SLASH_TEXT = rf"^{_DAY}/{_MONTH}/{_YEAR}$"
 DASH_TEXT = rf"^{_DAY}-{_MONTH}-{_YEAR}$"
@@ -23,11 +24,11 @@ def date_of(bare: Column) -> Column:
     code and rejects days such as 31 February.
     """
     iso = (
-        F.when(bare.rlike(ISO_TEXT), F.translate(bare, " ", ""))
+        F.when(bare.rlike(ISO_TEXT), bare)
         .when(bare.rlike(SLASH_TEXT), F.regexp_replace(bare, SLASH_TEXT, "$3-$2-$1"))
         .when(bare.rlike(DASH_TEXT), F.regexp_replace(bare, DASH_TEXT, "$3-$2-$1"))
     )
-    return iso.try_cast("date")
+    return F.translate(iso, " ", "").try_cast("date")
 
 
 def parse_date(text: Column) -> Column:

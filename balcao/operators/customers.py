@@ -133,6 +133,14 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
     )
 
 
+def cohort_rows(cells: DataFrame) -> DataFrame:
+    """``cohort_retention`` with one row per cohort: how many months it has and ``month=percentage`` of each, in order."""
+    cell = F.struct("months_since", F.concat_ws("=", "months_since", F.col("retained_pct").cast("decimal(9,1)")).alias("told"))
+    return cells.groupBy("cohort").agg(F.sort_array(F.collect_list(cell)).alias("cells")).select(
+        "cohort", F.size("cells").cast("long").alias("n_months"), F.array_join("cells.told", " ").alias("retained")
+    )
+
+
 def cohort_matrix(cells: DataFrame) -> DataFrame:
     """``cohort_retention`` wide: one row per cohort, one column per months since."""
     span = cells.agg(F.max("months_since").alias("m")).first()["m"]

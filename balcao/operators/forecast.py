@@ -30,8 +30,13 @@ def settled(value: Column) -> Column:
 
 
 def revenue_series(sales: DataFrame, *keys: str) -> DataFrame:
-    """Monthly completed revenue as (series, month_start, y); one series without ``keys``."""
-    name = F.concat_ws("/", *keys) if keys else F.lit("total")
+    """Monthly completed revenue as (series, month_start, y); one series without ``keys``.
+
+    ``series`` joins the keys by ``/``. A slash or backslash inside a key is marked
+    by a backslash and NULL is written ``\\N``, so different keys stay different.
+    """
+    marked = [F.coalesce(F.regexp_replace(F.col(k), r"([/\\])", r"\\$1"), F.lit(r"\N")) for k in keys]
+    name = F.concat_ws("/", *marked) if keys else F.lit("total")
     return monthly_series(sales, *keys).select(
         name.alias("series"), "month_start", F.col("revenue").cast("double").alias("y")
     )

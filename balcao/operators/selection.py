@@ -20,10 +20,10 @@ ALL_AXES = (PERIOD, CATEGORY, STATE, STATUS)
 
 @dataclass(frozen=True)
 class Selection:
-    """A period, inclusive at both ends, and value lists; an empty list selects all."""
+    """A period, inclusive at both ends (None is no bound), and value lists; an empty list selects all."""
 
-    start: dt.date
-    end: dt.date
+    start: dt.date | None
+    end: dt.date | None
     categories: tuple[str, ...] = ()
     states: tuple[str, ...] = ()
     statuses: tuple[str, ...] = field(default=())
@@ -65,6 +65,18 @@ def resolve_period(
     raise ValueError(f"unknown period preset {preset!r}")
 
 
+def month_text(day: dt.date | None) -> str | None:
+    """``yyyy-mm``, also below the year 1000."""
+    return day.isoformat()[:7] if day else None
+
+
+def _within(df: DataFrame, column: str, least, most) -> DataFrame:
+    """Rows between two bounds; None is no bound."""
+    if least is not None:
+        df = df.filter(F.col(column) >= F.lit(least))
+    return df if most is None else df.filter(F.col(column) <= F.lit(most))
+
+
 def apply_selection(df: DataFrame, chosen: Selection, axes: Iterable[str] = ALL_AXES) -> DataFrame:
     """Filter ``df`` on the named axes; an axis whose column is missing is skipped.
 
@@ -75,9 +87,9 @@ def apply_selection(df: DataFrame, chosen: Selection, axes: Iterable[str] = ALL_
     if unknown:
         raise ValueError(f"unknown filter axes: {sorted(unknown)}")
     if PERIOD in axes and "sale_date" in df.columns:
-        out = out.filter(F.col("sale_date").between(F.lit(chosen.start), F.lit(chosen.end)))
+        out = _within(out, "sale_date", chosen.start, chosen.end)
     elif PERIOD in axes and "year_month" in df.columns:
-        out = out.filter(F.col("year_month").between(f"{chosen.start:%Y-%m}", f"{chosen.end:%Y-%m}"))
+        out = _within(out, "year_month", month_text(chosen.start), month_text(chosen.end))
     for axis, values in ((CATEGORY, chosen.categories), (STATE, chosen.states), (STATUS, chosen.statuses)):
         if axis in axes and values and axis in df.columns:
             out = out.filter(F.col(axis).isin(*values))
@@ -89,7 +101,7 @@ def kpi_vs_previous(kpis: DataFrame, chosen: Selection) -> DataFrame:
 
     ``kpis`` has one row per month, so the ranking windows are a few rows long.
     """
-    lo, hi = f"{chosen.start:%Y-%m}", f"{chosen.end:%Y-%m}"
+    lo, hi = month_text(chosen.start), month_text(chosen.end)
     current = F.col("year_month").between(lo, hi)
     tagged = kpis.withColumn("current", current).withColumn("earlier", F.col("year_month") < lo)
     width = F.count_if("current").over(Window.partitionBy())
@@ -146,12 +158,9 @@ def revenue_peak(cube: DataFrame) -> DataFrame:
     )
 
 
-def seasonality(cube: DataFrame, years: int = 3) -> DataFrame:
-    """Revenue by calendar month (rows) for the last ``years`` years as (year, month, revenue)."""
-    by_month = cube.groupBy("year", "month").agg(F.sum("revenue").alias("revenue"))
-    # One row per year and month: the window is bounded by the calendar.
-    recent = F.dense_rank().over(Window.orderBy(F.desc("year")))
-    return by_month.withColumn("_n", recent).filter(F.col("_n") <= years).drop("_n")
+def seasonality(cube: DataFrame) -> DataFrame:
+    """Revenue by year and calendar month, of every year."""
+    return cube.groupBy("year", "month").agg(F.sum("revenue").alias("revenue"))
 
 
 def season_extremes(cube: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def selected(name: str, sales: DataFrame) -> DataFrame:
 
 def finished_cube(sales: DataFrame) -> DataFrame:
     """The cube under the default selection: everything, completed sales."""
-    default = selection.Selection(dt.date.min.replace(year=1000), dt.date.max, statuses=tuple(vocab.COMPLETED))
+    default = selection.Selection(None, None, statuses=tuple(vocab.COMPLETED))
     return filtered_view("revenue_cube", sales, default)
 
 
@@ -212,7 +212,7 @@ sales_query("rfm_scores", lambda s: customers.rfm_scores(s).select("customer_id"
 sales_query("rfm", customers.rfm, *CUSTOMER_COLUMNS)
 sales_query("top_decile_share", customers.top_decile_share, "customer_id", "amount", "status")
 sales_query("cohort_retention", customers.cohort_retention, "customer_id", *MONEY_COLUMNS)
-sales_query("cohort_matrix", lambda s: customers.cohort_matrix(written(customers.cohort_retention(s), "cohorts")),
+sales_query("cohort_matrix", lambda s: customers.cohort_rows(customers.cohort_retention(s)),
             "customer_id", *MONEY_COLUMNS)
 sales_query("retention_curve", customers.retention_curve, "customer_id", *MONEY_COLUMNS)
 sales_query("segment_summary", lambda s: customers.segment_summary(customers.rfm(s)), *CUSTOMER_COLUMNS)

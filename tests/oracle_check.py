@@ -46,7 +46,8 @@ def difference(spark, con, name, sf_dir):
     sql = contract.oracle_sql().get(name)
     if sql is None:
         return None if ours else "no SQL, no rows"
-    rel = con.sql(sql)
+    con.execute(f"CREATE OR REPLACE TEMP VIEW twin AS {sql}")  # as the driver does
+    rel = con.sql("FROM twin")
     types = dict(zip(rel.columns, map(str, rel.types)))
     if sorted(rel.columns) != names:
         return f"columns {names} vs {sorted(rel.columns)}"

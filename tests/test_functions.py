@@ -40,7 +40,8 @@ DATES = {
     "2025-03-07": dt.date(2025, 3, 7), "07/03/2025": dt.date(2025, 3, 7), "07-03-2025": dt.date(2025, 3, 7),
     " 7/3/2025 ": dt.date(2025, 3, 7), "2024-02-29": dt.date(2024, 2, 29), "2025-3- 7": dt.date(2025, 3, 7),
     "31/02/2025": None, "2025-13-07": None, "00/00/0000": None, "0000-01-01": None, "sem data": None,
-    "29/02/2025": None, "2025-03-07 10:00": None, "07/03/25": None, "": None, None: None,
+    "29/02/2025": None, "2025-03-07 10:00": None, "2025-03- 7": dt.date(2025, 3, 7), "2025-03- 07": None,
+    "2025-03- 31": None, "31/ 3/2025": None, "07/03/25": None, "": None, None: None,
 }
 
 
