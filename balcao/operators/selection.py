@@ -50,6 +50,21 @@ def default_selection(sales: DataFrame) -> Selection:
     )
 
 
+def default_period(sales: DataFrame) -> DataFrame:
+    """The default selection as a row: bounds and the completed statuses that occur, by name."""
+    chosen = default_selection(sales)
+    row = (chosen.start, chosen.end, ", ".join(sorted(chosen.statuses)))
+    return sales.sparkSession.createDataFrame([row], "first_date date, last_date date, statuses string")
+
+
+def preset_periods(sales: DataFrame) -> DataFrame:
+    """Start and end of every preset, resolved over the sales."""
+    bounds = date_bounds(sales).first()
+    presets = [vocab.PRESET_ALL, *vocab.PRESET_DAYS, vocab.PRESET_YEAR]
+    rows = [(p, *resolve_period(p, bounds["first_date"], bounds["last_date"])) for p in presets if bounds["last_date"]]
+    return sales.sparkSession.createDataFrame(rows, "preset string, first_date date, last_date date")
+
+
 def resolve_period(
     preset: str, first: dt.date, last: dt.date, custom: tuple[dt.date, dt.date] | None = None
 ) -> tuple[dt.date, dt.date]:

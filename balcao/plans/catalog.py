@@ -157,7 +157,7 @@ tagged_query("status_domain", lambda t: quality.status_domain(quality.accepted(t
 def _violations(accepted: DataFrame) -> DataFrame:
     t = load.star_from(accepted)
     return star.constraint_violations(
-        t["fact_sales"], t["dim_calendar"], t["dim_customer"], t["dim_product"], t["dim_location"]
+        written(t["fact_sales"], "fact"), t["dim_calendar"], t["dim_customer"], t["dim_product"], t["dim_location"]
     )
 
 
@@ -291,6 +291,8 @@ QUERIES["metrics_stored"] = lambda spark, sf_dir: plain(load.metrics_view(_store
 
 sales_query("filter_options", selection.filter_options, "category", "state", "status")
 sales_query("date_bounds", selection.date_bounds, "sale_date")
+sales_query("default_selection", selection.default_period, "sale_date", "status")
+sales_query("preset_periods", selection.preset_periods, "sale_date")
 sales_query("selected_sales", lambda s: selected("sales", s))
 sales_query("selected_cube", lambda s: selected("revenue_cube", s), "sale_date", *CUBE_COLUMNS)
 sales_query("kpi_vs_previous", lambda s: selection.kpi_vs_previous(kpis.kpi_monthly(s), chosen(s)), *CUSTOMER_COLUMNS)

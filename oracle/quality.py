@@ -38,11 +38,21 @@ CALENDAR = f"""SELECT strftime(d, '%Y-%m-%d') AS day, CAST(year(d) AS BIGINT) AS
 
 
 def _constraints() -> str:
+    """Every check counted over the accepted rows and the dimensions made of them."""
+    checks = {
+        "fact txn_id repeated": "SELECT count(*) - count(DISTINCT c_txn) FROM accepted",
+        "customer repeated": "SELECT count(*) - count(DISTINCT customer_id) FROM customers",
+        "product repeated": "SELECT count(*) - count(DISTINCT (product, category)) FROM products",
+        "location repeated": "SELECT count(*) - count(DISTINCT (city, state, country)) FROM locations",
+        "date outside calendar": "SELECT count(*) FROM accepted WHERE c_date < (SELECT min(c_date) FROM accepted) OR c_date > (SELECT max(c_date) FROM accepted)",
+        "customer orphan": "SELECT count(*) FROM accepted a ANTI JOIN customers c ON c_customer = c.customer_id",
+        "product orphan": "SELECT count(*) FROM accepted a ANTI JOIN products p ON c_product = p.product AND c_category = p.category",
+        "location orphan": "SELECT count(*) FROM accepted a ANTI JOIN locations l ON c_city = l.city AND c_state = l.state AND c_country = l.country",
+        "quantity not positive": "SELECT count(*) FROM accepted WHERE c_quantity <= 0",
+        "price negative": "SELECT count(*) FROM accepted WHERE c_cents < 0",
+    }
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS \"constraint\", CAST(0 AS BIGINT) AS violations"
-        for name in ["fact txn_id repeated", "customer repeated", "product repeated", "location repeated",
-                     "date outside calendar", "customer orphan", "product orphan", "location orphan",
-                     "quantity not positive", "price negative"]
+        f"SELECT '{name}' AS \"constraint\", CAST(({sql}) AS BIGINT) AS violations" for name, sql in checks.items()
     )
 
 
@@ -123,7 +133,7 @@ SQL = {
         "SELECT staged, valid, rejected, fact, valid - fact AS duplicates, staged = fact + rejected + (valid - fact) "
         "AS balanced FROM (SELECT (SELECT count(*) FROM tagged) AS staged, (SELECT count(*) FROM tagged WHERE reason IS NULL) "
         "AS valid, (SELECT count(*) FROM tagged WHERE reason IS NOT NULL) AS rejected, (SELECT count(*) FROM accepted) AS fact)"),
-    "constraint_violations": over_accepted(_constraints()),
+    "constraint_violations": over_accepted(_constraints(), False, DIMS),
     "constraint_violations_dirty": over_accepted(_constraint_fact(), False, "fact AS (SELECT * FROM tagged WHERE reason IS NULL)"),
     "null_census": over_feed(f"SELECT * FROM ({_nulls()})"),
     "date_forms": over_tagged(f"SELECT {DATE_FORM} AS form, count(*) AS n_rows FROM tagged GROUP BY 1"),
