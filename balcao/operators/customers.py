@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from balcao import vocab
 from balcao.functions.dates import months_apart, year_month
 from balcao.functions.exact import percent, ratio
-from balcao.operators.kpis import completed, customer_activity
+from balcao.operators.kpis import completed, customer_activity, stored_activity
 from balcao.operators.ordered import add_tile, counted, distribution, number_rows, tile
 
 SCORES = [1, 2, 3, 4, 5]
@@ -107,11 +107,10 @@ def top_decile_share(sales: DataFrame) -> DataFrame:
     )
 
 
-def _cohort_cells(sales: DataFrame) -> DataFrame:
+def _cohort_cells(activity: DataFrame) -> DataFrame:
     """Customers active per cohort and months since; the cohort's size is its month 0."""
     return (
-        customer_activity(sales)
-        .groupBy(
+        activity.groupBy(
             F.col("first_month").alias("cohort_start"),
             months_apart(F.col("month_start"), F.col("first_month")).alias("months_since"),
         )
@@ -124,7 +123,7 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
     cohort = Window.partitionBy("cohort_start")
     size = F.max(F.when(F.col("months_since") == 0, F.col("retained"))).over(cohort)
     return (
-        _cohort_cells(sales)
+        _cohort_cells(customer_activity(sales))
         .withColumn("cohort_size", size)
         .select(
             year_month("cohort_start").alias("cohort"), "months_since", "cohort_size", "retained",
@@ -156,10 +155,11 @@ def retention_curve(sales: DataFrame) -> DataFrame:
     came back. Month 0 holds the cohort's size and unfolds it over that span,
     so one pass over the cells adds both sums.
     """
-    last = completed(sales).agg(F.trunc(F.max("sale_date"), "MM").alias("m")).scalar()
+    activity = stored_activity(sales)
+    last = activity.agg(F.max("month_start").alias("m")).scalar()
     start = F.col("months_since") == 0
     span = F.sequence(F.lit(0), months_apart(last, F.col("cohort_start")))
-    steps = _cohort_cells(sales).withColumn(
+    steps = _cohort_cells(activity).withColumn(
         "at", F.explode(F.when(start, span).otherwise(F.array("months_since")))
     )
     size = F.sum(F.when(start, F.col("retained")))

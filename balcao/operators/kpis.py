@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from balcao import vocab
 from balcao.functions.dates import month_of, year_month
 from balcao.functions.exact import percent, ratio
+from balcao.session import written
 
 
 def completed(sales: DataFrame) -> DataFrame:
@@ -83,6 +84,11 @@ def customer_activity(sales: DataFrame) -> DataFrame:
     )
 
 
+def stored_activity(sales: DataFrame) -> DataFrame:
+    """``customer_activity`` written once, for measures that also need the first or last month."""
+    return written(customer_activity(sales), "activity")
+
+
 def _active_at(month: Column, sale: Column, days: int) -> Column:
     return F.datediff(F.last_day(month), sale) <= days
 
@@ -151,10 +157,11 @@ def active_status(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     A customer month holds until the next one, so the months between are
     unfolded in place: no join of customers with the calendar.
     """
-    last = completed(sales).agg(F.trunc(F.max("sale_date"), "MM").alias("hi")).scalar()
+    activity = stored_activity(sales)
+    last = activity.agg(F.max("month_start").alias("hi")).scalar()
     until = F.coalesce(F.add_months("next_month", -1), last)
     return (
-        customer_activity(sales)
+        activity
         .withColumn("at", F.explode(F.sequence("month_start", until, F.expr("interval 1 month"))))
         .select(
             "customer_id",
@@ -166,9 +173,10 @@ def active_status(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
 
 def churn_monthly(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     """Active at the end of the previous month, and those of them no longer active."""
-    spine = month_spine(sales)
-    flow = _monthly_flow(customer_activity(sales), days)
-    later = spine.filter(F.col("month_start") > spine.agg(F.min("month_start").alias("m")).scalar())
+    activity = stored_activity(sales)
+    flow = _monthly_flow(activity, days)
+    bounds = activity.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))
+    later = _spine(bounds.filter("lo < hi").withColumn("lo", F.add_months("lo", 1)))
     zero = F.lit(0).cast("long")
     return later.join(flow, "month_start", "left").select(
         year_month("month_start").alias("year_month"),

@@ -19,21 +19,29 @@ from balcao.session import written
 _ROW_BITS = 33
 
 
-def number_rows(df: DataFrame, order: list[Column], running: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``row_num`` and ``n_rows``; ``run_x`` and ``total_x`` per ``running`` column.
+def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` in order: the range of each row (``_part``) and its place (``_pos``).
 
     ``order`` must end in a unique key. The placed rows are written once, since
     range bounds are sampled anew whenever a plan is planned again. There are
     at most ``spark.sql.shuffle.partitions`` ranges; small ones are merged at
     run time, which keeps their order.
     """
-    placed = written(
+    return written(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id()),
         "placed",
     ).withColumn("_part", F.shiftright("_pos", _ROW_BITS))
 
+
+def number_rows(df: DataFrame, order: list[Column], running: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``row_num`` and ``n_rows``; ``run_x`` and ``total_x`` per ``running`` column.
+
+    ``order`` must end in a unique key. Only running sums move the placed rows
+    a second time.
+    """
+    placed = _placed(df, order)
     sums = [F.sum(c).alias(f"_sum_{c}") for c in running]
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), *sums)
     # One row per range from here to the broadcast.
@@ -90,42 +98,60 @@ def counted(df: DataFrame, groups: list[str], value: str) -> DataFrame:
 def distribution(counts: DataFrame, groups: list[str], value: str, probs: dict[str, tuple[int, int]]) -> DataFrame:
     """Per group n, min, max, mean, stddev_samp and exact interpolated quantiles.
 
-    ``counts`` comes from ``counted``. ``probs`` maps output names to fractions
-    (numerator, denominator). The quantile rows are found by their running
-    count, so no task holds the values of a group.
+    ``counts`` comes from ``counted``; NULL values are left out, as aggregates
+    do. ``probs`` maps output names to fractions (numerator, denominator). The
+    weights of the ranges tell in which ranges a quantile lies; only their rows
+    move again, for a running count. The figures of groups and ranges come from
+    a small written table, so the engine knows their size: few groups are
+    broadcast, and many groups are many keys to shuffle by.
     """
-    placed = number_rows(counts, [*map(F.col, groups), F.col(value)], running=("weight",))
+    placed = _placed(counts.filter(F.col(value).isNotNull()), [*map(F.col, groups), F.col(value)])
     v, w = F.col(value).cast("decimal(18,2)"), F.col("weight")
-    whole = placed.groupBy(*groups).agg(
-        F.sum(w).alias("n"),
-        F.min(F.col("run_weight") - w).alias("_start"),
-        F.min(v).alias("minimum"),
-        F.max(v).alias("maximum"),
-        (F.sum(v * w) / F.sum(w)).alias("mean"),
+    pieces = placed.groupBy(*groups, "_part").agg(
+        F.sum(w).alias("_size"), F.min(v).alias("_least"), F.max(v).alias("_most"), F.sum(v * w).alias("_sum")
     )
-    both = placed.join(whole, groups)
-    last = F.col("run_weight") - F.col("_start")
-    first = last - w + 1
-
-    def at(index: Column) -> Column:
-        return F.max(F.when((index + 1).between(first, last), v))
+    pieces = written(pieces, "pieces")
+    whole = pieces.groupBy(*groups).agg(
+        F.sum("_size").alias("n"),
+        F.min("_least").alias("minimum"),
+        F.max("_most").alias("maximum"),
+        (F.sum("_sum") / F.sum("_size")).alias("mean"),
+    )
+    off = v.cast("double") - F.col("mean").cast("double")
+    squares = placed.join(whole.select(*groups, "mean"), groups).groupBy(*groups).agg(F.sum(off * off * w).alias("_squares"))
 
-    picks = []
+    # One row per group and range from here to the ranges that hold a quantile.
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sized = pieces.select(
+        *groups, "_part", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        F.sum("_size").over(Window.partitionBy(*groups)).alias("n"),
+    )
+    spots = []
     for name, (num, den) in probs.items():
         scaled = (F.col("n") - 1) * num
         low = _div(scaled, F.lit(den))
         high = low + F.when(scaled % den > 0, 1).otherwise(0)
-        picks += [at(low).alias(f"_low_{name}"), at(high).alias(f"_high_{name}")]
-    off = v.cast("double") - F.col("mean").cast("double")
-    spread = both.groupBy(*groups, "n", "minimum", "maximum", "mean").agg(
-        F.sum(off * off * w).alias("_squares"), *picks
-    )
+        spots += [F.struct(F.lit(f"_{end}_{name}").alias("name"), (at + 1).alias("at")) for end, at in (("low", low), ("high", high))]
+    # At most two spots per quantile, each in the one range that reaches over it.
+    wanted = sized.withColumn(
+        "_spots",
+        F.filter(F.array(*spots), lambda s: (s["at"] > F.col("_before")) & (s["at"] <= F.col("_before") + F.col("_size"))),
+    ).filter(F.size("_spots") > 0)
+    wanted = wanted.select(*groups, "_part", "_before", "_spots")
+    so_far = Window.partitionBy(*groups, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    near = placed.join(wanted, [*groups, "_part"]).withColumn("_last", F.col("_before") + F.sum(w).over(so_far))
+
+    def at(name: str) -> Column:
+        hit = F.exists("_spots", lambda s: (s["name"] == name) & s["at"].between(F.col("_last") - w + 1, F.col("_last")))
+        return F.max(F.when(hit, v)).alias(name)
+
+    picked = near.groupBy(*groups).agg(*[at(f"_{end}_{name}") for name in probs for end in ("low", "high")])
     quantiles = []
     for name, (num, den) in probs.items():
         rest = (((F.col("n") - 1) * num) % den).cast("decimal(10,0)")
         low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
         quantiles.append(((low * (den - rest) + high * rest) / den).cast("decimal(24,6)").alias(name))
-    return spread.select(
+    return whole.join(squares, groups).join(picked, groups).select(
         *groups, "n", "minimum", "maximum", F.col("mean").cast("decimal(24,6)").alias("mean"),
         F.sqrt(F.try_divide(F.col("_squares"), F.col("n") - 1)).alias("stddev"),
         *quantiles,

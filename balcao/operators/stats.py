@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from balcao.operators.kpis import completed
 from balcao.operators.ordered import average_ranks, counted, distribution
+from balcao.session import written
 
 QUARTILES = {"q1": (1, 4), "median": (1, 2), "q3": (3, 4)}
 ITEM_MEASURES = ["unit_price", "quantity", "amount"]
@@ -42,7 +43,7 @@ def price_outliers(sales: DataFrame) -> DataFrame:
     )
     price, weight = F.col("unit_price"), F.col("weight")
     return (
-        counts.join(limits, "category")
+        counts.join(written(limits, "limits"), "category")
         .groupBy("category", "n", "q1", "q3", "upper_iqr", "upper_z")
         .agg(
             F.sum(F.when(price > F.col("upper_iqr"), weight).otherwise(0)).alias("outliers_iqr"),
@@ -96,24 +97,26 @@ def pearson_matrix(df: DataFrame, measures: list[str]) -> DataFrame:
 def spearman_matrix(df: DataFrame, measures: list[str]) -> DataFrame:
     """Spearman correlation: Pearson over average ranks.
 
-    Rows are merged to distinct combinations with counts, so a value shared by
-    many rows joins its rank once per combination. Ranks are centred on their
-    known mean (n + 1) / 2 before the products are summed.
+    Ranks per distinct value are written and joined to the rows: few values are
+    broadcast from their known size, and a hot value among many is split at run
+    time. Ranks are centred on their known mean (n + 1) / 2 before the products
+    are summed.
     """
-    combos = df.groupBy(*measures).agg(F.count(F.lit(1)).alias("weight"))
+    ranked = df.select(*measures)
     for m in measures:
         ranks = average_ranks(counted(df.select(m), [], m), m)
         centred = (F.col("rank") - (F.col("n") + 1) / F.lit(2.0)).alias(f"_rank_{m}")
-        combos = combos.join(ranks.select(m, centred), m)
+        # A measure that was joined already is not carried along.
+        ranked = ranked.join(written(ranks.select(m, centred), "ranks"), m).drop(m)
 
     def total(a: str, b: str) -> Column:
-        return F.sum(F.col(f"_rank_{a}") * F.col(f"_rank_{b}") * F.col("weight"))
+        return F.sum(F.col(f"_rank_{a}") * F.col(f"_rank_{b}"))
 
     pair = {
         (a, b): F.try_divide(total(a, b), F.sqrt(total(a, a)) * F.sqrt(total(b, b)))
         for a, b in _pairs(measures)
     } | {(m, m): _varies(total(m, m)) for m in measures}
-    return _matrix(combos, measures, pair, "spearman")
+    return _matrix(ranked, measures, pair, "spearman")
 
 
 def item_measures(sales: DataFrame) -> DataFrame:
