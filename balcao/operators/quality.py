@@ -22,13 +22,18 @@ CLEAN_COLUMNS = [
 _MAX_AMOUNT = 10**12
 
 
+def _carried(staging: DataFrame) -> list[str]:
+    """Columns beside the eleven text columns that pass through cleaning, where present."""
+    return [c for c in ("ordinal", "malformed") if c in staging.columns]
+
+
 def _prepared(staging: DataFrame) -> DataFrame:
     """The raw row, each text stripped once, and the intermediate forms parsing uses repeatedly.
 
     Separate projections: the optimizer merges two only where that repeats no
     costly expression.
     """
-    kept = [c for c in staging.columns if c == "ordinal"]
+    kept = _carried(staging)
     stripped = staging.select(
         *kept,
         F.struct(*vocab.STAGING_COLUMNS).alias("raw"),
@@ -89,6 +94,8 @@ def _reject_reason() -> Column:
 def tag(staging: DataFrame) -> DataFrame:
     """Staging with ``raw`` (the row as it came), ``clean`` (typed) and ``reason`` (NULL if valid).
 
+    A ``malformed`` line, which has no fields, is rejected before every rule.
+
     The typed fields pass through a one-row generator. Without it the optimizer
     copies every parsing expression into each filter on ``reason`` and then
     reasons over the copies, which takes it minutes.
@@ -98,15 +105,20 @@ def tag(staging: DataFrame) -> DataFrame:
     marks["blank_unit_price"] = tx.is_blank(F.col("raw.unit_price"))
     marks["negative"] = money.negative_of(F.col("unit_price"))
     fields = {**_typed(), **marks}
-    kept = [c for c in staging.columns if c == "ordinal"]
+    kept = _carried(staging)
     typed = prepared.select(*kept, "raw", *[c.alias(f"_{name}") for name, c in fields.items()])
     clean = F.struct(*[F.col(f"_{name}").alias(name) for name in fields])
     rows = typed.select(*kept, "raw", F.explode(F.array(clean)).alias("clean"))
-    return rows.withColumn("reason", _reject_reason())
+    reason = _reject_reason()
+    if "malformed" in kept:
+        reason = F.when(F.col("malformed").isNotNull(), vocab.MALFORMED).otherwise(reason)
+    return rows.withColumn("reason", reason)
 
 
 def rejected(tagged: DataFrame) -> DataFrame:
-    return tagged.filter("reason is not null").select("raw", "reason")
+    """Invalid rows as they came, with the reason and, from a CSV feed, the malformed line."""
+    kept = [c for c in ("malformed",) if c in tagged.columns]
+    return tagged.filter("reason is not null").select("raw", "reason", *kept)
 
 
 def valid(tagged: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +14,7 @@ from balcao.functions import text as tx
 from balcao.operators import customers, forecast, kpis, products, quality, selection, star, stats
 from balcao.plans import load
 from balcao.plans.registry import filtered_view
-from balcao.session import shared_dir, written
+from balcao.session import scratch_path, written
 from balcao.sources.driver_tables import dirty_feed, load_sales
 from balcao.sources.raw import read_raw_sales, staging_columns
 from balcao.sources.warehouse import Warehouse, layer_counts, quarantine_records
@@ -94,7 +92,7 @@ def finished_cube(sales: DataFrame) -> DataFrame:
 
 def _csv_of_feed(spark: SparkSession, sf_dir: str) -> str:
     """Write the feed as a CSV export in the shared folder."""
-    path = f"{shared_dir(spark).rstrip('/')}/feed-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "feed")
     feed = dirty_feed(spark, sf_dir).select(*[F.col(ours).alias(raw) for raw, ours in vocab.RAW_HEADERS.items()])
     feed.write.csv(
         path, header=True, quote='"', escape='"', encoding="UTF-8", emptyValue="", nullValue="",
@@ -108,12 +106,38 @@ def _read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
-    root = f"{shared_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "warehouse")
     load.run_load(spark, _csv_of_feed(spark, sf_dir), root)
     return Warehouse(spark, root)
 
 
+def _csv_with_broken_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as a CSV export with line breaks inside quotes and lines of too few or too many fields."""
+    path = scratch_path(spark, "broken-feed")
+    feed = dirty_feed(spark, sf_dir)
+    fault = (F.col("ordinal.l_orderkey") * 13 + F.col("ordinal.l_linenumber") * 5 + F.col("ordinal.cents")) % 61
+    texts = {c: F.coalesce(F.col(c), F.lit("")) for c in vocab.STAGING_COLUMNS}
+    texts["product"] = F.when(fault == 0, F.concat(texts["product"], F.lit("\nnova linha"))).otherwise(texts["product"])
+    quoted = [F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"')) for t in texts.values()]
+    record = F.when(fault == 1, F.concat_ws(",", *quoted[:-1])).when(
+        fault == 2, F.concat_ws(",", *quoted, F.lit('"x"'))).otherwise(F.concat_ws(",", *quoted))
+    # The first row a task writes follows the header.
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    header = F.lit(",".join(vocab.RAW_HEADERS) + "\n")
+    feed.select(F.when(first, F.concat(header, record)).otherwise(record).alias("value")).write.text(path)
+    return path
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read by lines and by records."""
+    path = _csv_with_broken_lines(spark, sf_dir)
+    by = [read_raw_sales(spark, path, multi_line).drop("ordinal").withColumn("mode", F.lit(mode))
+          for mode, multi_line in (("lines", False), ("records", True))]
+    return plain(by[0].unionByName(by[1]))
+
+
 QUERIES["read_raw_sales"] = _read_raw
+QUERIES["read_broken_lines"] = _broken_lines
 QUERIES["load_pipeline"] = lambda spark, sf_dir: plain(load.sales_of(_loaded(spark, sf_dir)))
 feed_query("staging_projection", staging_columns)
 tagged_query("quarantine_records", lambda t: quarantine_records(quality.rejected(t)))
@@ -261,8 +285,7 @@ def total_query(name: str, build: Callable[[forecast.Forecast], DataFrame]) -> N
 
 
 def _stored_model(spark: SparkSession, sf_dir: str) -> Warehouse:
-    root = f"{shared_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
-    house = Warehouse(spark, root)
+    house = Warehouse(spark, scratch_path(spark, "model"))
     model = _model(load_sales(spark, sf_dir, "order_id", *MONEY_COLUMNS))
     load.store_model(house, model)
     return house

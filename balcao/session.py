@@ -49,6 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path for intermediate data in the shared folder, under the application id."""
+    return f"{shared_dir(spark).rstrip('/')}/balcao-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -56,7 +61,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     keeps column pruning, filter pushdown and true sizes for the readers.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark).rstrip('/')}/balcao-{app}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

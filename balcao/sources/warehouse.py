@@ -45,9 +45,13 @@ class Warehouse:
 
 
 def quarantine_records(rejected: DataFrame) -> DataFrame:
-    """Rejected rows whole as JSON, NULL fields kept, with reason and stage."""
+    """Rejected rows whole as JSON, NULL fields kept, with reason and stage; a malformed line as its text."""
+    record = F.to_json("raw", {"ignoreNullFields": "false"})
+    if "malformed" in rejected.columns:
+        line = F.to_json(F.struct(F.col("malformed").alias("line")))
+        record = F.when(F.col("malformed").isNotNull(), line).otherwise(record)
     return rejected.select(
-        F.to_json("raw", {"ignoreNullFields": "false"}).alias("record"),
+        record.alias("record"),
         "reason",
         F.lit(vocab.STAGE).alias("stage"),
     )

@@ -54,6 +54,8 @@ STAGE = "validacao"
 NULL_REQUIRED = "campo obrigatorio nulo: "
 REQUIRED_FIELDS = {"order_id": "id_pedido", "payment_method": "metodo_pagamento"}
 AMOUNT_OVERFLOW = "valor total fora do limite"
+# Our own reason for a line of the feed that is no whole record.
+MALFORMED = "registro malformado"
 
 # Month names without accents.
 MONTH_NAMES = [

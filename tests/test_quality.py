@@ -106,6 +106,39 @@ def test_csv_takes_columns_by_name_and_blanks_as_null(spark, tmp_path):
     assert rows[0]["location"] is None and rows[0]["txn_id"] == "T1"
 
 
+BROKEN = '''{header}
+{whole}
+"T2",O1,2025-03-07,C1,"Mouse
+sem fio",Acessorios,"R$ 89,90",2,Rio/RJ/Brasil,Pix,Entregue
+T3,O1,2025-03-07,C1,Mouse,Acessorios,10.00,2,Rio/RJ/Brasil,Pix
+T4,O1,2025-03-07,C1,Mouse,Acessorios,10.00,2,Rio/RJ/Brasil,Pix,Entregue,sobra
+T5,O1,2025-03-07,C1,"Tela 24""",Acessorios,10.00,2,Rio/RJ/Brasil,Pix,"Entregue"
+T6,O1,2025-03-07,C1,Mouse,Acessorios,10.00,2,Rio/RJ/Brasil,Pix,"Entr
+egue"
+'''
+
+
+def test_csv_lines_that_are_no_record(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    whole = "T1,O1,2025-03-07,C1,Mouse,Acessorios,10.00,2,Rio/RJ/Brasil,Pix,Entregue"
+    path.write_text(BROKEN.format(header=",".join(vocab.RAW_HEADERS), whole=whole), encoding="utf-8")
+    lines = read_raw_sales(spark, str(path)).orderBy("ordinal").collect()
+    assert [r["txn_id"] for r in lines if r["malformed"] is None] == ["T1", "T5"]
+    assert [r["product"] for r in lines if r["malformed"] is None] == ["Mouse", 'Tela 24"']
+    assert [r["malformed"][:3] for r in lines if r["malformed"]] == ['"T2', "sem", "T3,", "T4,", "T6,", "egu"]
+    assert all(r[c] is None for r in lines if r["malformed"] for c in vocab.STAGING_COLUMNS)
+    records = read_raw_sales(spark, str(path), multi_line=True)
+    assert [r["txn_id"] for r in records.filter("malformed is null").orderBy("ordinal").collect()] == ["T1", "T2", "T5", "T6"]
+    assert {r["malformed"][:3] for r in records.filter("malformed is not null").collect()} == {"T3,", "T4,"}
+    assert read_raw_sales(spark, str(path)).filter("malformed is not null").count() == 6
+
+    house = Warehouse(spark, str(tmp_path / "house"))
+    counts = load.run_load(spark, str(path), house.root)
+    assert (counts["staging"], counts["quarantine"], counts["fact_sales"], counts["duplicates"]) == (8, 6, 2, 0)
+    kept = house.read("quarantine").filter(F.col("reason") == vocab.MALFORMED)
+    assert '{"line":"sem fio\\",Acessorios,\\"R$ 89,90\\",2,Rio/RJ/Brasil,Pix,Entregue"}' in {r["record"] for r in kept.collect()}
+
+
 def test_csv_without_a_column_fails(spark, tmp_path):
     path = write_csv(tmp_path / "a.csv", [{}], list(vocab.RAW_HEADERS)[:-1])
     with pytest.raises(ValueError, match="Status_Pedido"):
