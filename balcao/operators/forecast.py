@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from balcao import vocab
 from balcao.functions.dates import year_month
 from balcao.operators.kpis import monthly_series
+from balcao.session import written
 
 MONEY = "decimal(24,2)"
 
@@ -202,6 +203,11 @@ class Forecast:
         )
 
 
+def model_of(sales: DataFrame, *keys: str) -> Forecast:
+    """The forecast of the monthly series, which are few rows against the sales and read by several branches."""
+    return Forecast(written(revenue_series(sales, *keys), "series"))
+
+
 def next_month_headline(table: DataFrame, metrics: DataFrame) -> DataFrame:
     """Per series the first future month with its band and the regression's errors."""
     own = Window.partitionBy("series").orderBy("year_month")

@@ -260,6 +260,40 @@ def reject_census(tagged: DataFrame) -> DataFrame:
     )
 
 
+def load_report(tagged: DataFrame) -> DataFrame:
+    """The quality figures of a load as (topic, item, n_rows), in one pass over the rows.
+
+    Blank fields per column, date and money forms, reject reasons, and how many
+    distinct categories and statuses there are as written and as loaded. Each row
+    unfolds to its facts, which are counted before they move; malformed lines
+    have no fields and count as a reason only.
+    """
+    whole = F.col("reason").isNull() | (F.col("reason") != vocab.MALFORMED)
+    told = {
+        "reason": F.col("reason"),
+        "date form": F.when(whole, dates.date_form(F.col("raw.sale_date"))),
+        "money form": F.when(whole, money.money_form(F.col("raw.unit_price"))),
+    }
+    distinct = {}
+    for name in ("category", "status"):
+        distinct[f"{name} as written"] = F.when(whole, F.coalesce(tx.strip(F.col(f"raw.{name}")), F.lit("")))
+        distinct[f"{name} as loaded"] = F.when(F.col("reason").isNull(), F.col(f"clean.{name}"))
+    facts = [F.struct(F.lit(t).alias("topic"), item.alias("item")) for t, item in {**told, **distinct}.items()]
+    facts += [
+        F.struct(F.lit("blank").alias("topic"), F.when(whole & tx.is_blank(F.col(f"raw.{c}")), c).alias("item"))
+        for c in vocab.STAGING_COLUMNS
+    ]
+    counts = (
+        tagged.select(F.inline(F.array(*facts))).filter("item is not null")
+        .groupBy("topic", "item").agg(F.count(F.lit(1)).alias("n"))
+    )
+    spread = F.col("topic").isin(*distinct)
+    return counts.groupBy(
+        F.when(spread, "distinct").otherwise(F.col("topic")).alias("topic"),
+        F.when(spread, F.col("topic")).otherwise(F.col("item")).alias("item"),
+    ).agg(F.sum(F.when(spread, 1).otherwise(F.col("n"))).alias("n_rows"))
+
+
 def rejected_share(tagged: DataFrame) -> DataFrame:
     """Share of staged rows that were rejected, one row."""
     return tagged.agg(

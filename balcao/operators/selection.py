@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -85,29 +85,35 @@ def month_text(day: dt.date | None) -> str | None:
     return day.isoformat()[:7] if day else None
 
 
-def _within(df: DataFrame, column: str, least, most) -> DataFrame:
-    """Rows between two bounds; None is no bound."""
-    if least is not None:
-        df = df.filter(F.col(column) >= F.lit(least))
-    return df if most is None else df.filter(F.col(column) <= F.lit(most))
-
-
-def apply_selection(df: DataFrame, chosen: Selection, axes: Iterable[str] = ALL_AXES) -> DataFrame:
-    """Filter ``df`` on the named axes; an axis whose column is missing is skipped.
+def axis_test(df: DataFrame, chosen: Selection, axis: str) -> Column:
+    """Whether a row of ``df`` is chosen on one axis; an axis without a column or a choice keeps every row.
 
     The period works on days where ``sale_date`` exists, else on whole months.
     """
+    test = F.lit(True)
+    if axis == PERIOD:
+        column = next((c for c in ("sale_date", "year_month") if c in df.columns), None)
+        bounds = (chosen.start, chosen.end)
+        if column == "year_month":
+            bounds = tuple(month_text(day) for day in bounds)
+        if column and bounds[0] is not None:
+            test = test & (F.col(column) >= F.lit(bounds[0]))
+        if column and bounds[1] is not None:
+            test = test & (F.col(column) <= F.lit(bounds[1]))
+        return test
+    values = {CATEGORY: chosen.categories, STATE: chosen.states, STATUS: chosen.statuses}[axis]
+    return F.col(axis).isin(*values) if values and axis in df.columns else test
+
+
+def apply_selection(df: DataFrame, chosen: Selection, axes: Iterable[str] = ALL_AXES) -> DataFrame:
+    """Filter ``df`` on the named axes; an axis whose column is missing is skipped."""
     axes, out = set(axes), df
     unknown = axes - set(ALL_AXES)
     if unknown:
         raise ValueError(f"unknown filter axes: {sorted(unknown)}")
-    if PERIOD in axes and "sale_date" in df.columns:
-        out = _within(out, "sale_date", chosen.start, chosen.end)
-    elif PERIOD in axes and "year_month" in df.columns:
-        out = _within(out, "year_month", month_text(chosen.start), month_text(chosen.end))
-    for axis, values in ((CATEGORY, chosen.categories), (STATE, chosen.states), (STATUS, chosen.statuses)):
-        if axis in axes and values and axis in df.columns:
-            out = out.filter(F.col(axis).isin(*values))
+    for axis in ALL_AXES:
+        if axis in axes:
+            out = out.filter(axis_test(df, chosen, axis))
     return out
 
 

@@ -13,7 +13,7 @@ from balcao.functions import dates, money
 from balcao.functions import text as tx
 from balcao.operators import customers, forecast, kpis, products, quality, selection, star, stats
 from balcao.plans import load
-from balcao.plans.registry import filtered_view
+from balcao.plans.registry import filter_contract, filtered_view, read_view
 from balcao.session import scratch_path, written
 from balcao.sources.driver_tables import dirty_feed, load_sales
 from balcao.sources.raw import read_raw_sales, staging_columns
@@ -136,12 +136,18 @@ def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(by[0].unionByName(by[1]))
 
 
+def _stored_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    house = _loaded(spark, sf_dir)
+    return plain(layer_counts(*map(house.read, ("staging", "fact_sales", "quarantine"))))
+
+
 QUERIES["read_raw_sales"] = _read_raw
 QUERIES["read_broken_lines"] = _broken_lines
-QUERIES["load_pipeline"] = lambda spark, sf_dir: plain(load.sales_of(_loaded(spark, sf_dir)))
+QUERIES["load_pipeline"] = lambda spark, sf_dir: plain(
+    load.sales_of(_loaded(spark, sf_dir)).drop("sale_key"))
+QUERIES["layer_counts"] = _stored_layers
 feed_query("staging_projection", staging_columns)
 tagged_query("quarantine_records", lambda t: quarantine_records(quality.rejected(t)))
-tagged_query("layer_counts", lambda t: layer_counts(t, quality.accepted(t), quality.rejected(t)))
 
 feed_query("parse_money", lambda f: f.select("unit_price", money.parse_money(F.col("unit_price")).alias("price")))
 tagged_query("price_two_places", lambda t: quality.valid(t).select("txn_id", F.col("unit_price").alias("price")))
@@ -172,6 +178,7 @@ feed_query("date_forms", quality.date_forms)
 feed_query("money_forms", quality.money_forms)
 tagged_query("distinct_before_after", quality.distinct_before_after)
 tagged_query("reject_census", quality.reject_census)
+tagged_query("load_report", quality.load_report)
 tagged_query("rejected_share", quality.rejected_share)
 tagged_query("status_domain", lambda t: quality.status_domain(quality.accepted(t)))
 
@@ -185,20 +192,24 @@ def _violations(accepted: DataFrame) -> DataFrame:
     )
 
 
-def _violations_of_valid(tagged: DataFrame) -> DataFrame:
-    """Repeats kept, customers and calendar of some years only: every check has work."""
-    rows = written(quality.valid(tagged), "valid")
-    recent = rows.filter(F.year("sale_date") >= 2001).groupBy("customer_id").agg(
-        F.xxhash64("customer_id").alias("customer_key"))
-    keyed = rows.withColumns({
-        "customer_key": F.xxhash64("customer_id"), "product_key": F.xxhash64("product", "category"),
-        "location_key": F.xxhash64("city", "state", "country"),
-    })
-    items = rows.select("product", "category").distinct().withColumn("product_key", F.xxhash64("product", "category"))
-    places = rows.select("city", "state", "country").distinct().withColumn(
-        "location_key", F.xxhash64("city", "state", "country"))
-    calendar = star.dim_calendar(rows.filter(F.year("sale_date") >= 1996))
-    return star.constraint_violations(keyed, calendar, recent, items, places)
+def _violations_of_feed(tagged: DataFrame) -> DataFrame:
+    """All typed rows, rejected ones and repeats too, against the dimensions of the accepted ones."""
+    t = load.star_from(written(quality.accepted(tagged), "accepted"))
+    natural = {
+        "customer_key": ["customer_id"], "product_key": ["product", "category"],
+        "location_key": ["city", "state", "country"],
+    }
+    rows = tagged.select("clean.*")
+    for key, name in (("customer_key", "dim_customer"), ("product_key", "dim_product"), ("location_key", "dim_location")):
+        rows = rows.join(t[name], natural[key], "left")
+    return star.constraint_violations(
+        written(rows, "typed"), t["dim_calendar"], t["dim_customer"], t["dim_product"], t["dim_location"]
+    )
+
+
+def _enriched_with_key(accepted: DataFrame) -> DataFrame:
+    t = load.star_from(accepted)
+    return load.enriched({**t, "fact_sales": star.add_sale_key(t["fact_sales"])})
 
 
 accepted_query("dim_calendar", star.dim_calendar)
@@ -208,9 +219,9 @@ accepted_query("dim_location", star.dim_location)
 accepted_query("load_fact", lambda a: load.star_from(a.drop("ordinal"))["fact_sales"])
 accepted_query("generated_amount", lambda a: a.select("txn_id", star.amount().alias("amount")))
 accepted_query("fact_with_sale_key", lambda a: star.add_sale_key(load.star_from(a)["fact_sales"]))
-accepted_query("sales_enriched", lambda a: load.enriched(load.star_from(a.drop("ordinal"))))
+accepted_query("sales_enriched", _enriched_with_key)
 accepted_query("constraint_violations", _violations)
-tagged_query("constraint_violations_dirty", _violations_of_valid)
+tagged_query("constraint_violations_dirty", _violations_of_feed)
 
 # ---- revenue, KPIs, retention, churn ----------------------------------------
 
@@ -271,8 +282,7 @@ sales_query("spearman_customers", lambda s: stats.spearman_matrix(
 
 
 def _model(s: DataFrame, *keys: str) -> forecast.Forecast:
-    """The series are few rows against the sales, and several branches read them."""
-    return forecast.Forecast(written(forecast.revenue_series(s, *keys), "series"))
+    return forecast.model_of(s, *keys)
 
 
 def series_query(name: str, build: Callable[[forecast.Forecast], DataFrame]) -> None:
@@ -280,8 +290,9 @@ def series_query(name: str, build: Callable[[forecast.Forecast], DataFrame]) ->
     sales_query(name, lambda s: build(_model(s, *SERIES_KEYS)), *SERIES_KEYS, "order_id", *MONEY_COLUMNS)
 
 
-def total_query(name: str, build: Callable[[forecast.Forecast], DataFrame]) -> None:
-    sales_query(name, lambda s: build(_model(s)), "order_id", *MONEY_COLUMNS)
+def total_query(name: str, dataset: str) -> None:
+    """A registered dataset of the one series of all sales."""
+    sales_query(name, lambda s: read_view(dataset, s), "order_id", *MONEY_COLUMNS)
 
 
 def _stored_model(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -305,8 +316,8 @@ series_query("project", lambda m: m.projection().select("series", month_text(),
 series_query("band", lambda m: m.band().withColumn("width", forecast.settled(F.col("width"))))
 series_query("forecast_table", forecast.Forecast.table)
 series_query("next_month_headline", lambda m: forecast.next_month_headline(m.table(), m.metrics()))
-total_query("forecast_total", forecast.Forecast.table)
-total_query("model_metrics", forecast.Forecast.metrics)
+total_query("forecast_total", "monthly_forecast")
+total_query("model_metrics", "model_metrics")
 QUERIES["forecast_stored"] = lambda spark, sf_dir: plain(load.forecast_view(_stored_model(spark, sf_dir)))
 QUERIES["metrics_stored"] = lambda spark, sf_dir: plain(load.metrics_view(_stored_model(spark, sf_dir)))
 
@@ -316,6 +327,7 @@ sales_query("filter_options", selection.filter_options, "category", "state", "st
 sales_query("date_bounds", selection.date_bounds, "sale_date")
 sales_query("default_selection", selection.default_period, "sale_date", "status")
 sales_query("preset_periods", selection.preset_periods, "sale_date")
+sales_query("filter_contract", lambda s: filter_contract(s, chosen(s)), *dict.fromkeys((*CUBE_COLUMNS, *CUSTOMER_COLUMNS)))
 sales_query("selected_sales", lambda s: selected("sales", s))
 sales_query("selected_cube", lambda s: selected("revenue_cube", s), "sale_date", *CUBE_COLUMNS)
 sales_query("kpi_vs_previous", lambda s: selection.kpi_vs_previous(kpis.kpi_monthly(s), chosen(s)), *CUSTOMER_COLUMNS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from balcao.operators import forecast, quality, star
 from balcao.session import written
@@ -33,41 +34,49 @@ def enriched(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_load(
-    spark: SparkSession, csv_path: str, root: str, multi_line: bool = False, sale_keys: bool = False
+    spark: SparkSession, csv_path: str, root: str, multi_line: bool = False, sale_keys: bool = True
 ) -> dict[str, int]:
     """Replace the whole warehouse from a CSV feed; returns the run summary.
 
-    ``sale_keys`` numbers the fact rows in feed order, which sorts the fact.
+    ``sale_keys`` numbers the fact rows in feed order, which sorts the fact;
+    without it the enriched sales have no ``sale_key``.
 
     The accepted rows are written once and feed all dimensions and the fact.
-    The quarantine is computed from staging again: its rules are a scan, and
-    writing every tagged row would cost more than reading the text twice.
+    Quarantine and report are computed from staging again: the rules are a scan,
+    and writing every tagged row would cost more than reading the text again.
+    Nothing is published before the counts balance.
     """
     house = Warehouse(spark, root)
-    stage(read_raw_sales(spark, csv_path, multi_line), house.path("staging"))
-    tagged = quality.tag(house.read("staging"))
-    house.replace_quarantine(quarantine_records(quality.rejected(tagged)))
+    version = house.new_version()
+    staged = house.folder("staging", version)
+    stage(read_raw_sales(spark, csv_path, multi_line), staged)
+    stored = {"staging": spark.read.parquet(staged)}
+    tagged = quality.tag(stored["staging"])
+    records = quarantine_records(quality.rejected(tagged)).withColumn("created_at", F.current_timestamp())
+    stored["quarantine"] = house.store("quarantine", records, version)
+    stored["load_report"] = house.store("load_report", quality.load_report(tagged), version)
 
     accepted = written(quality.accepted(tagged), "accepted")
     tables = star_from(accepted)
     for name in ("dim_calendar", "dim_customer", "dim_product", "dim_location"):
-        house.replace(name, tables[name])
-    stored = {name: house.read(name) for name in tables if name.startswith("dim_")}
+        stored[name] = house.store(name, tables[name], version)
     fact = star.load_fact(
         accepted, stored["dim_customer"], stored["dim_product"], stored["dim_location"]
     )
-    house.replace_fact(star.add_sale_key(fact) if sale_keys else fact.drop("ordinal"))
-    return summary(house, accepted)
+    stored["fact_sales"] = house.store_fact(star.add_sale_key(fact) if sale_keys else fact.drop("ordinal"), version)
+    counts = summary(stored, accepted)
+    house.publish(version, list(stored))
+    return counts
 
 
-def summary(house: Warehouse, accepted: DataFrame) -> dict[str, int]:
+def summary(stored: dict[str, DataFrame], accepted: DataFrame) -> dict[str, int]:
     """Row counts of the written tables, which come from file footers.
 
     Staged rows that were neither quarantined nor accepted are duplicates. The
     load fails unless every accepted row found its keys and reached the fact.
     """
     tables = ("staging", "fact_sales", "quarantine", "dim_customer", "dim_product", "dim_location")
-    counts = {name: house.read(name).count() for name in tables}
+    counts = {name: stored[name].count() for name in tables}
     kept = accepted.count()
     counts["duplicates"] = counts["staging"] - counts["quarantine"] - kept
     if counts["fact_sales"] != kept or counts["duplicates"] < 0:
@@ -83,13 +92,11 @@ def sales_of(house: Warehouse) -> DataFrame:
 
 def run_model(house: Warehouse) -> None:
     """Replace the forecast and metrics tables from the stored sales."""
-    series = written(forecast.revenue_series(sales_of(house)), "series")
-    store_model(house, forecast.Forecast(series))
+    store_model(house, forecast.model_of(sales_of(house)))
 
 
 def store_model(house: Warehouse, model: forecast.Forecast) -> None:
-    house.replace("monthly_forecast", model.table())
-    house.replace("model_metrics", model.metrics())
+    house.replace(monthly_forecast=model.table(), model_metrics=model.metrics())
 
 
 def forecast_view(house: Warehouse) -> DataFrame:

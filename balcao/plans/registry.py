@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from balcao.operators import customers, forecast, kpis, products
 from balcao.operators.selection import (
-    ALL_AXES, CATEGORY, PERIOD, Selection, apply_selection,
+    ALL_AXES, CATEGORY, PERIOD, Selection, apply_selection, axis_test,
 )
 
 
@@ -24,14 +25,6 @@ class Dataset:
     axes: tuple[str, ...] = ()
 
 
-def _forecast_table(sales: DataFrame) -> DataFrame:
-    return forecast.Forecast(forecast.revenue_series(sales)).table()
-
-
-def _model_metrics(sales: DataFrame) -> DataFrame:
-    return forecast.Forecast(forecast.revenue_series(sales)).metrics()
-
-
 DATASETS: dict[str, Dataset] = {
     "sales": Dataset(lambda sales: sales, ALL_AXES),
     "revenue_cube": Dataset(kpis.revenue_cube, ALL_AXES),
@@ -43,8 +36,8 @@ DATASETS: dict[str, Dataset] = {
     "top_decile_share": Dataset(customers.top_decile_share),
     "product_metrics": Dataset(products.product_metrics),
     "pareto": Dataset(products.pareto),
-    "monthly_forecast": Dataset(_forecast_table),
-    "model_metrics": Dataset(_model_metrics),
+    "monthly_forecast": Dataset(lambda sales: forecast.model_of(sales).table()),
+    "model_metrics": Dataset(lambda sales: forecast.model_of(sales).metrics()),
 }
 
 
@@ -67,3 +60,18 @@ def filtered_view(
     if refused:
         raise ValueError(f"{name} does not accept the filters {', '.join(refused)}")
     return apply_selection(read_view(name, sales), chosen, wanted)
+
+
+def filter_contract(sales: DataFrame, chosen: Selection) -> DataFrame:
+    """Per dataset and axis: whether it accepts the filter, and how many rows the choice keeps (NULL if refused)."""
+    schema = "dataset string, axis string, accepted boolean, n_rows long"
+    refused = [(name, a, False, None) for name, d in DATASETS.items() for a in ALL_AXES if a not in d.axes]
+    out = sales.sparkSession.createDataFrame(refused, schema)
+    for name, dataset in DATASETS.items():
+        if not dataset.axes:
+            continue
+        rows = dataset.build(sales)
+        kept = rows.agg(*[F.count_if(axis_test(rows, chosen, a)).alias(a) for a in dataset.axes])
+        out = out.unionByName(kept.unpivot([], list(dataset.axes), "axis", "n_rows").select(
+            F.lit(name).alias("dataset"), "axis", F.lit(True).alias("accepted"), "n_rows"))
+    return out

@@ -90,7 +90,8 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
 
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.select(*[F.col(ours).alias(theirs) for ours, theirs in names.items() if ours in df.columns])
+    """The columns under the feed's names; a missing one is an error."""
+    return df.select(*[F.col(ours).alias(theirs) for ours, theirs in names.items()])
 
 
 def register_views(sales: DataFrame, names: list[str] | None = None) -> list[str]:

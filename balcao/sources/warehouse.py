@@ -1,7 +1,10 @@
-"""Warehouse tables on Parquet: one folder per table, replaced as a whole."""
+"""Warehouse tables on Parquet: one folder per table and version, published together."""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,39 +12,70 @@ from balcao import vocab
 
 TABLES = [
     "staging", "quarantine", "dim_calendar", "dim_customer", "dim_product", "dim_location",
-    "fact_sales", "monthly_forecast", "model_metrics",
+    "fact_sales", "load_report", "monthly_forecast", "model_metrics",
 ]
+_PUBLISHED = "version string, name string"
 
 
 class Warehouse:
-    """Paths, readers and writers of one warehouse folder."""
+    """Readers and writers of one warehouse folder.
+
+    Each refresh writes its tables to folders of a new version and publishes
+    them together by one small append. Readers take the newest published
+    version, so a load that fails leaves the last one in place. Superseded
+    folders stay for readers that still use them.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, table: str) -> str:
+    @staticmethod
+    def new_version() -> str:
+        """A name that sorts after those of earlier refreshes."""
+        return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def folder(self, table: str, version: str) -> str:
         if table not in TABLES:
             raise KeyError(f"unknown table {table}")
-        return f"{self.root}/{table}"
+        return f"{self.root}/{table}/{version}"
+
+    def publish(self, version: str, tables: list[str]) -> None:
+        rows = self.spark.createDataFrame([(version, t) for t in tables], _PUBLISHED)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
+
+    def path(self, table: str) -> str:
+        """Folder of the newest published version."""
+        log = self.spark.read.schema(_PUBLISHED).parquet(f"{self.root}/published")
+        version = log.filter(F.col("name") == table).agg(F.max("version")).first()[0]
+        if version is None:
+            raise ValueError(f"{table} was never published in {self.root}")
+        return self.folder(table, version)
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def replace(self, table: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(table))
+    def store(self, table: str, df: DataFrame, version: str) -> DataFrame:
+        """Write a table of an unpublished version; returns it as stored."""
+        df.write.parquet(self.folder(table, version))
+        return self.spark.read.parquet(self.folder(table, version))
 
-    def replace_fact(self, fact: DataFrame) -> None:
+    def store_fact(self, fact: DataFrame, version: str) -> DataFrame:
         """Fact by month folders, so a period filter skips files.
 
         The rebalance hint lets the engine split a month that holds much of the
         data over several files and merge small ones.
         """
         by_month = fact.withColumn("sale_month", F.trunc("sale_date", "MM")).hint("rebalance", "sale_month")
-        by_month.write.mode("overwrite").partitionBy("sale_month").parquet(self.path("fact_sales"))
-
-    def replace_quarantine(self, records: DataFrame) -> None:
-        self.replace("quarantine", records.withColumn("created_at", F.current_timestamp()))
+        by_month.write.partitionBy("sale_month").parquet(self.folder("fact_sales", version))
+        return self.spark.read.parquet(self.folder("fact_sales", version))
+
+    def replace(self, **tables: DataFrame) -> None:
+        """Store and publish tables together."""
+        version = self.new_version()
+        for name, df in tables.items():
+            self.store(name, df, version)
+        self.publish(version, list(tables))
 
 
 def quarantine_records(rejected: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
 """Shared CTEs and exact rounding. Money is whole cents throughout."""
 
-from balcao.sources import driver_tables as dt
+# The dirt the feed carries, stated here once more so that a change there shows.
+BROKEN_DATES = ["30/02/2024", "2024-14-02", "00/05/2023", "ontem", "2024-03- 31", "2024-03- 07"]
+BROKEN_PRICES = ["R$ --", "a combinar", "7,7,7"]
+FOREIGN_STATUSES = ["Em rota", "Retido", "Pago"]
+PLAIN_VOWELS, ACCENTED_VOWELS = "aeiou", "áêíõú"
 
 WS = "' '||chr(9)||chr(10)||chr(13)"
 
@@ -76,14 +80,14 @@ feed AS (SELECT
   CASE WHEN k % 167 = 5 THEN '   ' WHEN k % 167 <> 0 THEN
     CASE WHEN k % 113 = 0 THEN ' ' || {key} || chr(9) ELSE {key} END END AS txn_id,
   CASE WHEN k % 503 <> 0 THEN CAST(l_orderkey AS VARCHAR) END AS order_id,
-  CASE WHEN k % 167 <> 2 THEN CASE WHEN k % 211 = 0 THEN {_pick(dt.BROKEN_DATES, 211)}
+  CASE WHEN k % 167 <> 2 THEN CASE WHEN k % 211 = 0 THEN {_pick(BROKEN_DATES, 211)}
     WHEN k % 97 < 58 THEN strftime(day, '%Y-%m-%d') WHEN k % 97 < 82 THEN strftime(day, '%d/%m/%Y')
     ELSE strftime(day, '%d-%m-%Y') END END AS sale_date,
   CASE WHEN k % 167 <> 1 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
   CASE WHEN k % 167 <> 4 THEN p_name END AS product,
   CASE WHEN k % 307 = 0 THEN NULL WHEN k % 83 < 4 THEN upper({label}) WHEN k % 83 < 8 THEN lower({label})
-    WHEN k % 83 < 12 THEN translate({label}, '{dt.PLAIN_VOWELS}', '{dt.ACCENTED_VOWELS}') ELSE {label} END AS category,
-  CASE WHEN k % 167 <> 3 THEN CASE WHEN k % 251 = 0 THEN {_pick(dt.BROKEN_PRICES, 251)}
+    WHEN k % 83 < 12 THEN translate({label}, '{PLAIN_VOWELS}', '{ACCENTED_VOWELS}') ELSE {label} END AS category,
+  CASE WHEN k % 167 <> 3 THEN CASE WHEN k % 251 = 0 THEN {_pick(BROKEN_PRICES, 251)}
     WHEN k % 257 = 0 THEN 'R$ -' || {grouped} WHEN k % 89 < 36 THEN 'R$ ' || {grouped}
     WHEN k % 89 < 58 THEN {grouped}
     ELSE CAST(v // 100 AS VARCHAR) || '.' || lpad(CAST(v % 100 AS VARCHAR), 2, '0') END END AS unit_price,
@@ -93,7 +97,7 @@ feed AS (SELECT
     WHEN 2 THEN ' / / ' WHEN 3 THEN NULL WHEN 4 THEN ' ' || n_name || ' / ' || st || ' / ' || r_name || ' '
     ELSE n_name || '/' || st || '/' || r_name END AS location,
   CASE WHEN k % 509 <> 0 THEN o_orderpriority END AS payment_method,
-  CASE WHEN k % 199 = 0 THEN {_pick(dt.FOREIGN_STATUSES, 199)} WHEN k % 79 < 3 THEN upper(stat)
+  CASE WHEN k % 199 = 0 THEN {_pick(FOREIGN_STATUSES, 199)} WHEN k % 79 < 3 THEN upper(stat)
     WHEN k % 79 < 6 THEN lower(stat) ELSE stat END AS status,
   copy, l_orderkey, l_linenumber, l_partkey, l_suppkey, cents
   FROM keyed, (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR k % 67 = 0)"""

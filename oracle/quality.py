@@ -57,16 +57,16 @@ def _constraints() -> str:
 
 
 def _constraint_fact() -> str:
-    """Violations of the raw valid rows, repeats kept, against dimensions of a part of them."""
+    """Violations of all rows of the feed, rejected ones and repeats too, against the dimensions of the accepted ones."""
     checks = {
         "fact txn_id repeated": "SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM fact GROUP BY c_txn)",
-        "customer repeated": "SELECT 0",
-        "product repeated": "SELECT 0",
-        "location repeated": "SELECT 0",
-        "date outside calendar": "SELECT count(*) FROM fact WHERE year(c_date) < 1996",
-        "customer orphan": "SELECT count(*) FROM fact WHERE c_customer NOT IN (SELECT c_customer FROM fact WHERE year(c_date) >= 2001)",
-        "product orphan": "SELECT 0",
-        "location orphan": "SELECT 0",
+        "customer repeated": "SELECT count(*) - count(DISTINCT customer_id) FROM customers",
+        "product repeated": "SELECT count(*) - count(DISTINCT (product, category)) FROM products",
+        "location repeated": "SELECT count(*) - count(DISTINCT (city, state, country)) FROM locations",
+        "date outside calendar": "SELECT count(*) FROM fact WHERE c_date IS NULL OR c_date < (SELECT date_trunc('month', min(c_date)) FROM accepted) OR c_date >= (SELECT date_trunc('month', max(c_date)) + INTERVAL 7 MONTH FROM accepted)",
+        "customer orphan": "SELECT count(*) FROM fact ANTI JOIN customers ON c_customer = customers.customer_id",
+        "product orphan": "SELECT count(*) FROM fact ANTI JOIN products ON c_product = products.product AND c_category = products.category",
+        "location orphan": "SELECT count(*) FROM fact ANTI JOIN locations ON c_city = locations.city AND c_state = locations.state AND c_country = locations.country",
         "quantity not positive": "SELECT count(*) FROM fact WHERE c_quantity <= 0",
         "price negative": "SELECT count(*) FROM fact WHERE c_cents < 0",
     }
@@ -134,7 +134,7 @@ SQL = {
         "AS balanced FROM (SELECT (SELECT count(*) FROM tagged) AS staged, (SELECT count(*) FROM tagged WHERE reason IS NULL) "
         "AS valid, (SELECT count(*) FROM tagged WHERE reason IS NOT NULL) AS rejected, (SELECT count(*) FROM accepted) AS fact)"),
     "constraint_violations": over_accepted(_constraints(), False, DIMS),
-    "constraint_violations_dirty": over_accepted(_constraint_fact(), False, "fact AS (SELECT * FROM tagged WHERE reason IS NULL)"),
+    "constraint_violations_dirty": over_accepted(_constraint_fact(), False, DIMS, "fact AS (SELECT * FROM tagged)"),
     "null_census": over_feed(f"SELECT * FROM ({_nulls()})"),
     "date_forms": over_tagged(f"SELECT {DATE_FORM} AS form, count(*) AS n_rows FROM tagged GROUP BY 1"),
     "money_forms": over_tagged(f"SELECT {MONEY_FORM} AS form, count(*) AS n_rows FROM tagged GROUP BY 1"),
@@ -146,6 +146,15 @@ SQL = {
     "reject_census": over_tagged(
         f"SELECT reason, n_rows, {pct('n_rows', 'staged', 2)} AS pct_staged FROM (SELECT reason, count(*) AS n_rows, "
         "(SELECT count(*) FROM tagged) AS staged FROM tagged WHERE reason IS NOT NULL GROUP BY reason)"),
+    "load_report": over_tagged(
+        f"""SELECT 'blank' AS topic, column_name AS item, nulls AS n_rows FROM ({_nulls()}) UNION ALL
+        SELECT 'date form', {DATE_FORM}, count(*) FROM tagged GROUP BY 2 UNION ALL
+        SELECT 'money form', {MONEY_FORM}, count(*) FROM tagged GROUP BY 2 UNION ALL
+        SELECT 'reason', reason, count(*) FROM tagged WHERE reason IS NOT NULL GROUP BY 2 UNION ALL
+        SELECT 'distinct', 'category as written', count(DISTINCT coalesce(trim(category, {WS}), '')) FROM tagged UNION ALL
+        SELECT 'distinct', 'category as loaded', count(DISTINCT c_category) FROM tagged WHERE reason IS NULL UNION ALL
+        SELECT 'distinct', 'status as written', count(DISTINCT coalesce(trim(status, {WS}), '')) FROM tagged UNION ALL
+        SELECT 'distinct', 'status as loaded', count(DISTINCT c_status) FROM tagged WHERE reason IS NULL"""),
     "rejected_share": over_tagged(f"SELECT {pct('count(reason)', 'count(*)')} AS rejected_pct FROM tagged"),
     "status_domain": over_accepted("SELECT c_status AS status, count(*) AS n_rows FROM accepted GROUP BY 1"),
     "dim_calendar": over_accepted(CALENDAR),
@@ -157,7 +166,9 @@ SQL = {
     "fact_with_sale_key": over_accepted(
         "SELECT row_number() OVER (ORDER BY copy, l_orderkey, l_linenumber, l_partkey, l_suppkey, cents) AS sale_key, "
         f"{FACT_FIELDS} {FACT_FROM}", False, DIMS),
-    "sales_enriched": over_accepted(f"SELECT {ENRICHED} FROM accepted"),
+    "sales_enriched": over_accepted(
+        "SELECT row_number() OVER (ORDER BY copy, l_orderkey, l_linenumber, l_partkey, l_suppkey, cents) AS sale_key, "
+        f"{ENRICHED} FROM accepted"),
     "load_pipeline": over_accepted(f"SELECT {ENRICHED} FROM accepted"),
 }
 

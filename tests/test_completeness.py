@@ -37,3 +37,35 @@ def test_series_of_different_keys_stay_apart(spark):
 def test_queries_have_fixed_columns(spark):
     found = catalog.QUERIES["cohort_matrix"](spark, "/root/testdata/sf0.001")
     assert found.columns == ["cohort", "n_months", "retained"]
+
+
+def test_fit_equals_least_squares_on_month_columns(spark):
+    """The closed form against a regression on an intercept, the trend and eleven month columns."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rows = [("s", dt.date(2020 + i // 12, i % 12 + 1, 1), 100.0 + 3.5 * i + 20 * ((i * 7) % 5) - (i % 12) ** 2) for i in range(40)]
+    points = forecast.series_index(spark.createDataFrame(rows, "series string, month_start date, y double"))
+    ours = {r.month: (r.slope, r.effect) for r in forecast.fit_trend_seasonal(points).collect()}
+    names = [f"m{m}" for m in range(2, 13)]
+    columns = points.select("y", F.col("t").cast("double"), *[(F.col("month") == m).cast("double").alias(f"m{m}") for m in range(2, 13)])
+    fit = LinearRegression(labelCol="y", solver="normal", standardization=False).fit(
+        VectorAssembler(inputCols=["t", *names], outputCol="features").transform(columns))
+    slope, *months = fit.coefficients
+    for month, more in enumerate([0.0, *months], start=1):
+        assert abs(ours[month][0] - slope) < 1e-6 and abs(ours[month][1] - fit.intercept - more) < 1e-5
+
+
+def test_every_constraint_can_fail(spark):
+    from balcao.operators import star
+
+    day = dt.date(2024, 1, 1)
+    fact = spark.createDataFrame(
+        [("a", day, 1, 1, 1, 1, 1.0), ("a", day, 9, 1, 1, 0, 1.0), ("b", dt.date(2030, 1, 1), 1, 9, None, 1, -1.0)],
+        "txn_id string, sale_date date, customer_key long, product_key long, location_key long, quantity int, unit_price double")
+    customers = spark.createDataFrame([(1, "c"), (2, "c")], "customer_key long, customer_id string")
+    products = spark.createDataFrame([(1, "p", "k"), (2, "p", "k")], "product_key long, product string, category string")
+    places = spark.createDataFrame([(1, "x", "y", "z"), (2, "x", "y", "z")], "location_key long, city string, state string, country string")
+    calendar = spark.createDataFrame([(day,)], "day date")
+    found = star.constraint_violations(fact, calendar, customers, products, places).collect()
+    assert len(found) == 10 and {r["violations"] for r in found} == {1}

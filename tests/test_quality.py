@@ -163,7 +163,11 @@ def test_full_load_is_idempotent_and_feeds_the_views(spark, tmp_path):
     got = spark.sql("SELECT sum(pedidos) AS n, sum(faturamento) AS f FROM vw_kpis_mensais").first()
     total = spark.sql("SELECT sum(valor_total) AS f FROM fato_vendas").first()["f"]
     assert got["f"] == total and spark.sql("SELECT max(pct_acumulado) AS p FROM vw_pareto_produtos").first()["p"] == 100
-    load.run_load(spark, path, root, sale_keys=True)
+    assert {r["item"] for r in house.read("load_report").filter("topic = 'reason'").collect()} == {"quantidade nao positiva"}
+    published = house.path("fact_sales")
+    with pytest.raises(ValueError):
+        load.run_load(spark, write_csv(tmp_path / "bad.csv", rows, list(vocab.RAW_HEADERS)[:-1]), root)
+    assert house.path("fact_sales") == published
     keyed = spark.read.parquet(house.path("fact_sales")).select("sale_key").orderBy("sale_key").collect()
     assert [r["sale_key"] for r in keyed] == list(range(1, 31))
 
