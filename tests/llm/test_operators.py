@@ -232,6 +232,17 @@ def test_mix_stays_within_a_block(spark, odd, none):
     assert mixing.in_order(mixed, odd.columns).columns == [*odd.columns, "mix_slot", "mix_place"]
 
 
+def test_mix_keeps_exact_weights(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 19}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string")
+    weights = {r.source: r.weight for r in mixing.root_weights(docs).collect()}
+    found = mixing.mix(docs, mixing.root_weights(docs), block_rows=1).select("row.source", "row.doc_id", "block", "slot").collect()
+    assert sorted(r.doc_id for r in found) == list(range(3000)) and len({r.slot for r in found}) == 3000
+    total = sum(weights.values())
+    for r in found:  # each block within its window: less than one block from the target weight
+        assert r.block * total // weights[r.source] <= r.slot < -(-(r.block + 1) * total // weights[r.source])
+
+
 def test_archives_round_trip(spark, tmp_path):
     pages = [(1, "u1", "same"), (2, "u2", "same"), (2, "u2", "same"), (3, None, None), (4, "u4", ""), (None, "u", "same"), (5, "u\r\n5", "é" * 9)]
     pages += [(10 + i, f"http://x/{i}", f"<html>{prose(100, i)}</html>") for i in range(300)]
