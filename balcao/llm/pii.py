@@ -21,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Longer texts are not hashed anew for each part of them, nor are their pseudonyms cached.
+LONG = 512
 LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 KINDS = ["email", "secret", "iban", "ip", "phone", "national_id", "date", "card"]
 
 _FIND = re.compile(
     r"""
     (?P<email>(?<![A-Za-z0-9_%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-]))
-  | (?P<secret>(?<=["'])[A-Za-z0-9+/_=-]{16,512}(?=["']))
+  | (?P<secret>(?<=["'])[A-Za-z0-9+/_=.-]{16,}+(?=["']))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))
   | (?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])
@@ -97,14 +99,18 @@ def _spelled(text: str, alphabet_of: Callable[[str], str | None], f: Feistel, tw
 
 
 def _in_parts(text: str, alphabet_of: Callable[[str], str | None], f: Feistel, tweak: str, back: bool, part: int = 40) -> str:
-    """Long texts in parts, each keyed by the text before it."""
-    out, plain = "", ""
+    """Long texts in parts, each keyed by the text before it, or by its running digest beyond LONG characters."""
+    out, plain, digest = [], "", blake2b(digest_size=32)
     for at in range(0, len(text), part):
         piece = text[at : at + part]
-        moved = _spelled(piece, alphabet_of, f, f"{tweak}:{plain}" if plain else tweak, back)
-        out += moved
-        plain += moved if back else piece
-    return out
+        before = plain if at <= LONG else f"\x00{digest.hexdigest()}"
+        moved = _spelled(piece, alphabet_of, f, f"{tweak}:{before}" if before else tweak, back)
+        out.append(moved)
+        known = moved if back else piece
+        digest.update(known.encode())
+        if at < LONG:
+            plain += known
+    return "".join(out)
 
 
 def _alnum(c: str) -> str | None:
@@ -244,7 +250,7 @@ class Pseudonyms:
         while match := _FIND.search(text, at):
             kind, (start, end) = match.lastgroup, match.span()
             named = kind != "secret" or _SECRET_NAME.search(text, max(0, start - 64), start)
-            moved = self.moved(kind, match[0]) if named else None
+            moved = (self.moved if end - start <= LONG else self._moved)(kind, match[0]) if named else None
             while moved is None and kind == "card" and (cut := max(map(text[start:end].rfind, " -"))) > 0:
                 end = start + cut  # the groups behind may belong to something else
                 moved = self.moved(kind, text[start:end])

@@ -199,6 +199,17 @@ def test_pseudonyms_keep_format_and_links():
         assert one.replace(same) == (same, [])
 
 
+def test_secrets_of_any_length_and_with_dots():
+    one = pii.Pseudonyms("k")
+    for value in ("0a" * 256 + "b", "Ab1-_" * 40_000, "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p1r"):
+        new, found = one.replace(f'x token = "{value}" y')
+        assert found == [("secret", 11, 11 + len(value))] and len(new) == len(value) + 14
+        moved = new[11:-3]
+        assert all(a != b for a, b in zip(moved.split("."), value.split("."))) and one.restore("secret", moved) == value
+    same = "see '" + "a1." * 300 + "'"
+    assert one.replace(same) == (same, [])
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(size):
     f = pii.Feistel(b"k")
