@@ -4,7 +4,8 @@ Every finding is validated (check digits, calendar, ranges), numbered within the
 finite set of values of its own format, moved by a keyed permutation of that
 set, and written back in the same format. Equal values get equal pseudonyms in
 all documents, different ones different pseudonyms, and the result passes the
-same validation. Candidates that fail validation stay as they are.
+same validation. Separators and the order of a date make no difference; letters
+count as they are written. Candidates that fail validation stay as they are.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ _FIND = re.compile(
 )
 #: What stands before a quoted secret.
 _SECRET_NAME = re.compile(r"(?i)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\w{0,20}[ \t]{0,8}[=:][ \t]{0,8}[\"']$")
+#: Country codes of one and two digits; all others have three.
+_COUNTRY_CODE = re.compile("[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}")
 #: A text without any of these has no finding.
 _MAY_HAVE = re.compile(r"[0-9@\"']")
 
@@ -176,12 +179,18 @@ def _ip(text: str, f: Feistel, back: bool) -> str | None:
 
 
 def _phone(text: str, f: Feistel, back: bool) -> str | None:
-    """Country prefix and separators stay; 7 to 15 digits in all."""
-    n = sum(c in DIGITS for c in text)
-    if not 7 <= n <= 15:
+    """Country code and separators stay; 7 to 15 digits in all.
+
+    The digits alone choose the pseudonym. Numbers without a plus are spelled as
+    North American ones only and count as those of country code 1.
+    """
+    digits = re.sub("[^0-9]", "", text)
+    if not 7 <= len(digits) <= 15:
         return None
-    prefix = re.match(r"\+[0-9]{1,3}(?=[ .(-])|\+?", text)[0]
-    return prefix + _spelled(text[len(prefix) :], _digit, f, f"phone:{prefix}", back)
+    code = _COUNTRY_CODE.match(digits)[0] if text[0] == "+" else ""
+    rest = digits[len(code) :]
+    moved = iter(f"{code}{f.permute(int(rest), 10 ** len(rest), f'phone:{code or 1}', back):0{len(rest)}d}")
+    return "".join(next(moved) if c in DIGITS else c for c in text)
 
 
 def _national_id(text: str, f: Feistel, back: bool) -> str | None:
@@ -198,7 +207,8 @@ def _national_id(text: str, f: Feistel, back: bool) -> str | None:
 def _date(text: str, f: Feistel, back: bool) -> str | None:
     """Valid days move within 1900 to 2099, others within their century.
 
-    Texts that are a day only with the month first stay so.
+    The day alone chooses the pseudonym, however it is written. Texts that are a
+    day only with the month first stay so, as days beyond the 12th stay beyond it.
     """
     if "-" in text:
         order, numbers = "iso", list(map(int, text.split("-")))
@@ -212,9 +222,10 @@ def _date(text: str, f: Feistel, back: bool) -> str | None:
     first, last = (1900, 2099) if 1900 <= day.year <= 2099 else (max(1, day.year // 100 * 100), day.year // 100 * 100 + 99)
     start = date(first, 1, 1)
     size = (date(last, 12, 31) - start).days + 1
+    late = day.day > 12
     while True:
-        day = start + timedelta(f.permute((day - start).days, size, f"date:{order}:{first}", back))
-        if order != "month first" or day.day > 12:
+        day = start + timedelta(f.permute((day - start).days, size, f"date:{first}", back))
+        if (day.day > 12) == late:
             break
     if order == "iso":
         return f"{day.year:04d}-{day.month:02d}-{day.day:02d}"

@@ -210,6 +210,20 @@ def test_secrets_of_any_length_and_with_dots():
     assert one.replace(same) == (same, [])
 
 
+def test_spellings_of_one_value_stay_linked():
+    one = pii.Pseudonyms("k")
+    phones = ["+1 (743) 555-3824", "+1 743 555 3824", "+1.743.555.3824", "(743) 555-3824", "743-555-3824"]
+    moved = [one.moved("phone", p) for p in phones]
+    assert [one.replace(p)[0] for p in phones] == moved and [one.restore("phone", m) for m in moved] == phones
+    assert len({"".join(c for c in m if c.isdigit())[-10:] for m in moved}) == 1 and moved[0].startswith("+1 (")
+    assert one.moved("phone", "+44 20 7946 0958").replace(" ", "") == one.moved("phone", "+44-207-946-0958").replace("-", "")
+    for dates in (["2024-02-28", "28/02/2024", "28.02.2024", "02/28/2024"], ["2024-02-09", "09/02/2024"]):
+        moved = [one.moved("date", d) for d in dates]
+        assert [one.replace(d)[0] for d in dates] == moved and [one.restore("date", m) for m in moved] == dates
+        y, m, d = moved[0].split("-")
+        assert moved[1:] == [f"{d}/{m}/{y}", f"{d}.{m}.{y}", f"{m}/{d}/{y}"][: len(dates) - 1] and moved[0] != dates[0]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(size):
     f = pii.Feistel(b"k")
