@@ -4,15 +4,16 @@ A document is contaminated by the words it shares with benchmark items. Of every
 WINDOW consecutive words the smallest hash of K consecutive ones is kept as a
 fingerprint. The choice depends on the words alone, so a window of an item and
 its copy in a document keep the same fingerprint at the same place: any shared
-span of WINDOW words or more is found. Fingerprints of both sides are joined,
-each hit is extended to its whole window, and the words are compared.
+span of WINDOW words or more is found. A fingerprint of a document is extended to
+each whole window it may stand in; those are joined with the items' windows by the
+hash of all their words, and the words are compared.
 
 Items of fewer than WINDOW words are one window each. For every such length that
 occurs, all runs of that many words of a document are fingerprints.
 
-Before the join, documents drop fingerprints whose bit is not set in a map of
-2^23 bits made from the benchmark. The map has that size whatever the benchmark
-is; it drops no fingerprint that the join would find.
+Before the join, documents drop fingerprints, and then windows, whose bit is not
+set in maps of 2^23 bits made from the benchmark. The maps have that size whatever
+the benchmark is; they drop nothing that the join would find.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def chosen(grams: np.ndarray, window: int = WINDOW, k: int = K) -> np.ndarray:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per window of an item: item, words, their number, fingerprint and its place in the window."""
+    """Per window of an item: item, words, their number, fingerprint, its place in the window, and the hash of the whole."""
     for batch in batches:
         for first, last in groups(batch.column(1)):
             words = Words(batch.column(1).slice(first, last - first), ALNUM)
@@ -67,15 +68,17 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for at in range(len(own) - size + 1 if size else 0):
                     if size < WINDOW:
                         place, print_ = 0, _short(hashes, size)[0]
+                        whole = print_
                     else:
                         grams = rolled(hashes[at : at + size], K)
                         place = int(np.argmin(grams))
                         print_ = grams[place]
-                    rows.append((batch.column(0)[first + i].as_py(), b" ".join(own[at : at + size]), size, int(print_.view(np.int64)), place))
-            columns = list(zip(*rows)) or [[]] * 5
+                        whole = rolled(hashes[at : at + size], size)[0]
+                    rows.append((batch.column(0)[first + i].as_py(), b" ".join(own[at : at + size]), size, int(print_.view(np.int64)), place, int(whole.view(np.int64))))
+            columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.int32()))],
-                ["item", "words", "size", "print", "place"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int64()))],
+                ["item", "words", "size", "print", "place", "whole"],
             )
 
 
@@ -85,15 +88,15 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     Windows of items without an id count as hits but name no item.
     """
     rows = benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).alias("text"))
-    windows = rows.mapInArrow(_windows, "item string, words binary, size int, print bigint, place int")
+    windows = rows.mapInArrow(_windows, "item string, words binary, size int, print bigint, place int, whole bigint")
     return written(
-        windows.groupBy("print", "place", "size", "words").agg(F.collect_set("item").alias("items")), "windows"
+        windows.groupBy("print", "place", "size", "words", "whole").agg(F.collect_set("item").alias("items")), "windows"
     )
 
 
-def _map_of(windows: DataFrame) -> np.ndarray:
-    """The bits of all fingerprints: at most 256 rows of 4 KB come to the driver."""
-    bit = F.col("print").bitwiseAND(F.lit(MAP_BITS - 1)) + 1
+def _map_of(windows: DataFrame, column: str) -> np.ndarray:
+    """The bits of all values of ``column``: at most 256 rows of 4 KB come to the driver."""
+    bit = F.col(column).bitwiseAND(F.lit(MAP_BITS - 1)) + 1
     rows = windows.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     ).collect()
@@ -104,20 +107,26 @@ def _map_of(windows: DataFrame) -> np.ndarray:
     return np.unpackbits(bits, bitorder="little").astype(bool)
 
 
-def _prints(text: Column, bits: np.ndarray, lengths: list[int]) -> Column:
-    """Array of fingerprints that the map lets through, with their places."""
-    packed = np.packbits(bits)
+def _candidates(text: Column, bits: np.ndarray, whole_bits: np.ndarray, lengths: list[int]) -> Column:
+    """Array of the whole windows around fingerprints that the maps let through: their hashes and first words."""
+    packed, packed_whole = np.packbits(bits), np.packbits(whole_bits)
 
-    @F.arrow_udf("array<struct<print:bigint,at:int>>")
+    @F.arrow_udf("array<struct<whole:bigint,start:int>>")
     def found(texts: pa.Array) -> pa.Array:
-        there = np.unpackbits(packed).astype(bool)
+        there, whole_there = np.unpackbits(packed).astype(bool), np.unpackbits(packed_whole).astype(bool)
         mask = np.uint64(MAP_BITS - 1)
         counts, prints, places = [], [], []
         for first, last in groups(texts):
             words = Words(texts.slice(first, last - first), ALNUM)
             grams, inside = words.grams(K)
             # A choice across two texts only adds fingerprints that lie within one.
-            own = [(grams, inside & chosen(grams) & there[grams & mask])]
+            places_of = np.flatnonzero(inside & chosen(grams) & there[grams & mask])
+            # Every window that has the fingerprint: it may begin WINDOW - K words before, or at it.
+            starts = np.unique((places_of[:, None] - np.arange(WINDOW - K + 1)).ravel())
+            wholes, inside = words.grams(WINDOW)
+            around = np.zeros(len(wholes), bool)
+            around[starts[(starts >= 0) & (starts < len(wholes))]] = True
+            own = [(wholes, inside & around & whole_there[wholes & mask])]
             for n in lengths:
                 grams, inside = words.grams(n)
                 grams = mixed(grams + np.uint64(n))
@@ -133,7 +142,7 @@ def _prints(text: Column, bits: np.ndarray, lengths: list[int]) -> Column:
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
         both = pa.StructArray.from_arrays(
             [pa.array(np.concatenate(prints) if prints else [], pa.int64()), pa.array(np.concatenate(places) if places else [], pa.int32())],
-            ["print", "at"],
+            ["whole", "start"],
         )
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), both)
 
@@ -180,12 +189,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     """
     windows = benchmark_windows(benchmark)
     lengths = sorted(r["size"] for r in windows.where(F.col("size") < WINDOW).select("size").distinct().collect())
-    bits = _map_of(windows)
-    prints = docs.select(F.col(key).alias("key"), F.explode(_prints(F.col(text), bits, lengths)).alias("one")).select("key", "one.*")
-    start = F.col("at") - F.col("place")
+    found = _candidates(F.col(text), _map_of(windows, "print"), _map_of(windows, "whole"), lengths)
+    candidates = docs.select(F.col(key).alias("key"), F.explode(found).alias("one")).select("key", "one.*")
     hits = written(
-        prints.join(windows, "print").where(start >= 0)
-        .groupBy("key").agg(F.collect_set(F.struct(start.alias("start"), "size", "words", "items")).alias("hits")),
+        candidates.join(windows, "whole")
+        .groupBy("key").agg(F.collect_set(F.struct("start", "size", "words", "items")).alias("hits")),
         "hits",
     )
     rows = docs.select(F.struct("*").alias("row"))

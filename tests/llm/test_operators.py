@@ -181,6 +181,18 @@ def test_contamination_of_odd_rows(spark, odd, none):
     assert decontam.clean_rows(odd, benchmark.limit(0)).count() == odd.count()
 
 
+def test_only_whole_windows_are_candidates(spark):
+    line = " ".join(f"line{i}" for i in range(decontam.WINDOW))
+    items = [(i, f"{line} own{i}") for i in range(200)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"other text {line} with no item"), (2, f"x {line} own7")], "doc_id bigint, text string")
+    windows = decontam.benchmark_windows(benchmark)
+    maps = [decontam._map_of(windows, c) for c in ("print", "whole")]
+    found = docs.select("doc_id", F.explode(decontam._candidates(F.col("text"), *maps, [])).alias("one")).select("doc_id", "one.*")
+    assert sorted((r.doc_id, r.start, r.size) for r in found.join(windows, "whole").collect()) == [(1, 2, 13), (2, 1, 13), (2, 2, 13)]
+    assert {r.row.doc_id: (r.n_hit, len(r["items"])) for r in decontam.overlaps(docs, benchmark).collect()} == {1: (13, 200), 2: (14, 200)}
+
+
 def test_pseudonyms_keep_format_and_links():
     one = pii.Pseudonyms("k")
     text = (
