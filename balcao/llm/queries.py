@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.llm import chat, decontam, langid, mixing, neardup, pii, quality, suffix, tokens, warc
+from balcao.llm import chat, decontam, langid, mixing, neardup, packing, pii, quality, suffix, tokens, treap, trie, warc
 
 MOST_TOKENS = 4096
 PII_KEY = "balcao-pseudonyms"
@@ -75,12 +75,39 @@ def op10_longest_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame
     return suffix.remove_repeats(_read(spark, sf_dir, "documents"), keep_first=False).drop("kept_text")
 
 
+def _rebuilt(listed: DataFrame) -> DataFrame:
+    """Conversations that begin as the first of their five does, for as many turns as their id's checksum says."""
+    c = F.col("conv_id")
+    starts = listed.select(c.alias("base"), F.slice("path", 1, 8).alias("start"))
+    h = (F.crc32(F.encode(c.cast("string"), "utf-8")) % 9).cast("int")
+    rows = listed.withColumns({"base": c - c % 5, "h": h}).join(starts, "base", "left")
+    own = F.slice("path", F.col("h") + 1, F.greatest(F.size("path") - F.col("h"), F.lit(0)))
+    shared = F.when(F.col("start").isNotNull(), F.slice("start", F.lit(1), F.col("h"))).otherwise(F.slice("path", F.lit(1), F.lit(0)))
+    return rows.select("conv_id", F.concat(shared, own).alias("path"))
+
+
+def op11_parenthesis_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(_rebuilt(trie.paths(_read(spark, sf_dir, "conversations"))))
+
+
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built, n_docs = treap.index(_read(spark, sf_dir, "documents"))
+    return treap.search(built, n_docs, _read(spark, sf_dir, "benchmark"), 20)
+
+
+def op13_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), MOST_TOKENS, 1)
+    return packing.pack(found, MOST_TOKENS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_profiles, op2_quality_cascade, op3_warc_zstd, op4_winnowing_decontamination, op5_pfair_mixing,
         op6_bpe_token_counts, op7_feistel_pseudonyms, op8_prefix_target_chat, op9_bottom_k_near_duplicates,
-        op10_longest_previous_factors,
+        op10_longest_previous_factors, op11_parenthesis_trie, op12_treap_search, op13_genetic_packing,
     )
 }
 
@@ -220,10 +247,67 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM s GROUP BY conv_id
 """
 
+_TRIE = r"""
+WITH t AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS path
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, path, conv_id - conv_id % 5 AS base,
+    (xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT), lambda crc, b:
+      list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
+      4294967295::BIGINT), 4294967295) % 9)::INT AS h
+  FROM t
+), r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.path[1:h.h], []), h.path[h.h + 1:]) AS path FROM h LEFT JOIN t b ON b.conv_id = h.base
+), n AS (
+  SELECT path[1:d] AS prefix, d AS depth, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = d), '') AS ends
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM r) GROUP BY ALL
+), k AS (
+  SELECT prefix[1:depth - 1] AS prefix, count(*)::BIGINT AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+), w AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(strlen(prefix[depth].text), 0) AS saved
+  FROM n LEFT JOIN k USING (prefix)
+), s AS (
+  SELECT top AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT prefix[1:e] AS top, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM w)) GROUP BY ALL
+)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(w.ends) AS ends_sha256
+FROM w JOIN s USING (prefix) LEFT JOIN n p ON w.depth > 0 AND p.depth = w.depth - 1 AND p.prefix = w.prefix[1:w.depth - 1]
+"""
+
+_SEARCH = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents WHERE text IS NOT NULL
+), a AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0
+), q AS (
+  SELECT item_id, word, count(*)::BIGINT AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word FROM benchmark) GROUP BY ALL
+), tf AS (
+  SELECT doc_id, word, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(words) AS word FROM d)
+  WHERE word IN (SELECT word FROM q) GROUP BY ALL
+), w AS (
+  SELECT word, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT word, count(*)::BIGINT AS df FROM tf GROUP BY word), a
+), m AS (
+  SELECT doc_id, (75 + (25 * len(words)::BIGINT * n_docs) // n_terms)::BIGINT AS m FROM d, a WHERE len(words) > 0
+), s AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (word) JOIN w USING (word) JOIN m USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
 SQL = {
     "op2_quality_cascade": _QUALITY,
     "op3_warc_zstd": _WARC,
     "op4_winnowing_decontamination": _DECONTAMINATION,
     "op5_pfair_mixing": _MIXING,
     "op8_prefix_target_chat": _CHAT,
+    "op11_parenthesis_trie": _TRIE,
+    "op12_treap_search": _SEARCH,
 }
