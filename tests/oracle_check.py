@@ -18,7 +18,7 @@ TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages", "benchmark",
     "labels", "conversations",
 ]
-KINDS = {"bigint": {"BIGINT"}, "double": {"DOUBLE"}, "string": {"VARCHAR"}, "boolean": {"BOOLEAN"}}
+KINDS = {"bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"}, "string": {"VARCHAR"}, "boolean": {"BOOLEAN"}}
 
 
 def connect(sf_dir):
