@@ -9,8 +9,9 @@ from pyspark.sql.window import Window
 from balcao import vocab
 from balcao.functions.dates import months_apart, year_month
 from balcao.functions.exact import percent, ratio
+from balcao.operators.cuts import Tiles, distribution
 from balcao.operators.kpis import completed, customer_activity, stored_activity
-from balcao.operators.ordered import add_tile, counted, distribution, number_rows, tile
+from balcao.session import written
 
 SCORES = [1, 2, 3, 4, 5]
 
@@ -31,12 +32,14 @@ def rfm_base(sales: DataFrame) -> DataFrame:
 
 
 def rfm_scores(sales: DataFrame) -> DataFrame:
-    """Quintiles of recency, frequency and monetary, 5 the best; ties by customer id."""
-    scored = rfm_base(sales)
-    by_id = F.col("customer_id")
-    scored = add_tile(scored, "score_r", [F.col("recency_days").desc(), by_id], 5)
-    scored = add_tile(scored, "score_f", [F.col("frequency"), by_id], 5)
-    return add_tile(scored, "score_m", [F.col("monetary"), by_id], 5)
+    """Quintiles of recency, frequency and monetary, 5 the best; ties by customer id.
+
+    The customers are written once; their scores are a projection of them.
+    """
+    base = written(rfm_base(sales), "customers")
+    orders = {"score_r": -F.col("recency_days"), "score_f": F.col("frequency"), "score_m": F.col("monetary")}
+    tiles = Tiles(base, orders, "customer_id", 5)
+    return base.withColumns({name: tiles.of(name) for name in orders})
 
 
 def segment_of(r: Column, f: Column) -> Column:
@@ -100,9 +103,9 @@ def rfm_points(segments: DataFrame) -> DataFrame:
 def top_decile_share(sales: DataFrame) -> DataFrame:
     """Share of revenue from the best tenth of customers, one row."""
     per_customer = completed(sales).groupBy("customer_id").agg(F.sum("amount").alias("revenue"))
-    ranked = number_rows(per_customer, [F.col("revenue").desc(), F.col("customer_id")])
-    best = tile(F.col("row_num"), F.col("n_rows"), 10) == 1
-    return ranked.agg(
+    stored = written(per_customer, "customers")
+    best = Tiles(stored, {"best": -F.col("revenue")}, "customer_id", 10, upto=1).of("best") == 1
+    return stored.agg(
         percent(F.sum(F.when(best, F.col("revenue"))), F.sum("revenue")).alias("top_decile_pct")
     )
 
@@ -197,9 +200,9 @@ def _gaps(sales: DataFrame) -> DataFrame:
 
 def purchase_intervals(sales: DataFrame) -> DataFrame:
     """Distribution of the gaps, one row even without gaps."""
-    gaps = _gaps(sales).withColumn("metric", F.lit("gap_days"))
+    gaps = _gaps(sales).select(F.lit("gap_days").alias("metric"), "gap_days")
     probs = {"median": (1, 2), "p75": (3, 4), "p90": (9, 10), "p95": (19, 20)}
-    spread = distribution(counted(gaps, ["metric"], "gap_days"), ["metric"], "gap_days", probs)
+    spread = distribution(gaps, ["metric"], "gap_days", probs)
     metrics = sales.sparkSession.createDataFrame([("gap_days",)], "metric string")
     return metrics.join(spread, "metric", "left").select(
         F.coalesce("n", F.lit(0).cast("long")).alias("n_intervals"), F.col("minimum").cast("int"), "median", "mean",

@@ -1,4 +1,4 @@
-"""Row numbers, running sums, tiles and exact quantiles over a global order.
+"""Row numbers, running sums and average ranks over a global order.
 
 A window without PARTITION BY sends every row to one task. Here the rows are
 range-partitioned on the whole sort key instead, whose last column is unique:
@@ -65,101 +65,61 @@ def number_rows(df: DataFrame, order: list[Column], running: tuple[str, ...] = (
     return numbered.drop("_part", "_pos", "_before", *[f"_before_{c}" for c in running])
 
 
-def _div(a: Column, b: Column) -> Column:
+def div(a: Column, b: Column) -> Column:
     """Whole-number division, exact beyond the range of doubles."""
     return F.call_function("div", a, b)
 
 
 def tile(row_num: Column, n_rows: Column, tiles: int) -> Column:
     """NTILE from a row number: the first ``n mod k`` tiles hold one row more."""
-    small = _div(n_rows, F.lit(tiles))
+    small = div(n_rows, F.lit(tiles))
     larger = n_rows % tiles
     in_larger = larger * (small + 1)
     return (
-        F.when(row_num <= in_larger, _div(row_num - 1, small + 1) + 1)
-        .otherwise(_div(row_num - 1 - in_larger, F.nullif(small, F.lit(0).cast("long"))) + larger + 1)
+        F.when(row_num <= in_larger, div(row_num - 1, small + 1) + 1)
+        .otherwise(div(row_num - 1 - in_larger, F.nullif(small, F.lit(0).cast("long"))) + larger + 1)
         .cast("int")
     )
 
 
-def add_tile(df: DataFrame, name: str, order: list[Column], tiles: int) -> DataFrame:
-    """Add NTILE(``tiles``) over ``order`` as column ``name``."""
-    numbered = number_rows(df, order)
-    return numbered.withColumn(name, tile(F.col("row_num"), F.col("n_rows"), tiles)).drop(
-        "row_num", "n_rows"
-    )
-
-
-def counted(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Distinct values with their row counts, hot values merged before the shuffle."""
-    return df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("weight"))
-
-
-def distribution(counts: DataFrame, groups: list[str], value: str, probs: dict[str, tuple[int, int]]) -> DataFrame:
-    """Per group n, min, max, mean, stddev_samp and exact interpolated quantiles.
+def average_ranks(rows: DataFrame, key: str, measures: list[str]) -> DataFrame:
+    """``key`` and per measure the average rank of the row among all, less the mean rank.
 
-    ``counts`` comes from ``counted``; NULL values are left out, as aggregates
-    do. ``probs`` maps output names to fractions (numerator, denominator). The
-    weights of the ranges tell in which ranges a quantile lies; only their rows
-    move again, for a running count. The figures of groups and ranges come from
-    a small written table, so the engine knows their size: few groups are
-    broadcast, and many groups are many keys to shuffle by.
+    All measures are sorted together, as one narrow row per row and measure,
+    and the rank is added in place: rows of equal value in one range are
+    neighbours. A value can go on in other ranges only as the first or last of
+    each, and what those hold of it is a table of one row per range and measure.
+    The ranks meet by row once. No value is NULL, and ``key`` is unique.
     """
-    placed = _placed(counts.filter(F.col(value).isNotNull()), [*map(F.col, groups), F.col(value)])
-    v, w = F.col(value).cast("decimal(18,2)"), F.col("weight")
-    pieces = placed.groupBy(*groups, "_part").agg(
-        F.sum(w).alias("_size"), F.min(v).alias("_least"), F.max(v).alias("_most"), F.sum(v * w).alias("_sum")
+    values = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("decimal(24,2)").alias("v")) for i, c in enumerate(measures)])
+    placed = _placed(rows.select(key, F.inline(values)), [F.col("m"), F.col("v"), F.col(key)])
+    run = Window.partitionBy("_part", "m", "v")
+    runs = placed.select(key, "_part", "m", "v", F.min("_pos").over(run).alias("_first"), F.count(F.lit(1)).over(run).alias("_ties"))
+
+    # One row per range, measure and edge value from here to the broadcast.
+    edges = placed.groupBy("_part", "m").agg(
+        F.count(F.lit(1)).alias("size"), F.min("_pos").alias("start"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    pieces = written(pieces, "pieces")
-    whole = pieces.groupBy(*groups).agg(
-        F.sum("_size").alias("n"),
-        F.min("_least").alias("minimum"),
-        F.max("_most").alias("maximum"),
-        (F.sum("_sum") / F.sum("_size")).alias("mean"),
-    )
-    off = v.cast("double") - F.col("mean").cast("double")
-    squares = placed.join(whole.select(*groups, "mean"), groups).groupBy(*groups).agg(F.sum(off * off * w).alias("_squares"))
-
-    # One row per group and range from here to the ranges that hold a quantile.
-    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sized = pieces.select(
-        *groups, "_part", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(Window.partitionBy(*groups)).alias("n"),
-    )
-    spots = []
-    for name, (num, den) in probs.items():
-        scaled = (F.col("n") - 1) * num
-        low = _div(scaled, F.lit(den))
-        high = low + F.when(scaled % den > 0, 1).otherwise(0)
-        spots += [F.struct(F.lit(f"_{end}_{name}").alias("name"), (at + 1).alias("at")) for end, at in (("low", low), ("high", high))]
-    # At most two spots per quantile, each in the one range that reaches over it.
-    wanted = sized.withColumn(
-        "_spots",
-        F.filter(F.array(*spots), lambda s: (s["at"] > F.col("_before")) & (s["at"] <= F.col("_before") + F.col("_size"))),
-    ).filter(F.size("_spots") > 0)
-    wanted = wanted.select(*groups, "_part", "_before", "_spots")
-    so_far = Window.partitionBy(*groups, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    near = placed.join(wanted, [*groups, "_part"]).withColumn("_last", F.col("_before") + F.sum(w).over(so_far))
-
-    def at(name: str) -> Column:
-        hit = F.exists("_spots", lambda s: (s["name"] == name) & s["at"].between(F.col("_last") - w + 1, F.col("_last")))
-        return F.max(F.when(hit, v)).alias(name)
-
-    picked = near.groupBy(*groups).agg(*[at(f"_{end}_{name}") for name in probs for end in ("low", "high")])
-    quantiles = []
-    for name, (num, den) in probs.items():
-        rest = (((F.col("n") - 1) * num) % den).cast("decimal(10,0)")
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        quantiles.append(((low * (den - rest) + high * rest) / den).cast("decimal(24,6)").alias(name))
-    return whole.join(squares, groups).join(picked, groups).select(
-        *groups, "n", "minimum", "maximum", F.col("mean").cast("decimal(24,6)").alias("mean"),
-        F.sqrt(F.try_divide(F.col("_squares"), F.col("n") - 1)).alias("stddev"),
-        *quantiles,
-    )
-
-
-def average_ranks(counts: DataFrame, value: str) -> DataFrame:
-    """Per distinct value its average rank among all rows; from ``counted``."""
-    placed = number_rows(counts, [F.col(value)], running=("weight",))
-    rank = F.col("run_weight") - (F.col("weight") - 1) / F.lit(2.0)
-    return placed.select(value, rank.alias("rank"), F.col("total_weight").alias("n"))
+    edges = written(edges, "ranges")
+    sides = edges.select("_part", "m", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("v"))
+    held = placed.join(F.broadcast(sides), ["_part", "m", "v"]).groupBy("_part", "m", "v").agg(F.count(F.lit(1)).alias("copies"))
+    value = Window.partitionBy("m", "v")
+    earlier = value.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spread = held.select(
+        "_part", "m", "v", F.coalesce(F.sum("copies").over(earlier), F.lit(0)).alias("before"), F.sum("copies").over(value).alias("all"),
+    ).groupBy("_part", "m").agg(F.collect_list(F.struct("v", "before", "all")).alias("edges"))
+    order = Window.partitionBy("m").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = edges.select(
+        "_part", "m", "start", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("offset"),
+        F.sum("size").over(Window.partitionBy("m")).alias("n"),
+    ).join(spread, ["_part", "m"])
+
+    def at_edge(name: str, inside: Column) -> Column:
+        hit = F.filter("edges", lambda e: e["v"] == F.col("v"))
+        return F.coalesce(F.get(hit, F.lit(0))[name], inside)
+
+    ranked = runs.join(F.broadcast(ranges), ["_part", "m"])
+    first = F.col("offset") + F.col("_first") - F.col("start") - at_edge("before", F.lit(0).cast("long"))
+    rank = first + (at_edge("all", F.col("_ties")) + 1) / F.lit(2.0)
+    centred = ranked.select(key, "m", (rank - (F.col("n") + 1) / F.lit(2.0)).alias("rank"))
+    return centred.groupBy(key).agg(*[F.max(F.when(F.col("m") == i, F.col("rank"))).alias(c) for i, c in enumerate(measures)])

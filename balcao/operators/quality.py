@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from balcao import vocab
-from balcao.functions import dates, money
+from balcao.functions import bloom, dates, money
 from balcao.functions import text as tx
 from balcao.functions.exact import percent
+from balcao.session import written
 
 CLEAN_COLUMNS = [
     "txn_id", "order_id", "sale_date", "customer_id", "product", "category", "unit_price",
@@ -142,6 +143,29 @@ def accepted(tagged: DataFrame) -> DataFrame:
     return dedup_keep_first(valid(tagged))
 
 
+def accepted_rows(staging: DataFrame) -> DataFrame:
+    """``accepted`` of a staging table, moving only the rows whose id repeats.
+
+    Ids are counted as 64-bit hashes, from the id column alone. A Bloom filter of
+    the repeated ones, of bounded size, then parts the table: rows outside it are
+    the only ones of their id and stay where they are, and the few inside are
+    dedup'ed. An id that only seems repeated costs its move; none is missed.
+    Rows without an id are never valid.
+    """
+    staged_id = tx.strip(F.col("txn_id"))
+    hashes = staging.filter(staged_id != "").select(F.xxhash64(staged_id).alias("id"))
+    counts = hashes.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = written(counts.filter("n > 1").select("id"), "repeated-ids")
+    n = repeated.count()
+    if not n:
+        return valid(tag(staging))
+    bits = bloom.size_for(n)
+    words = written(bloom.build(repeated, "id", bits), "repeated-filter")
+    repeats = bloom.might_hold(words.scalar(), F.xxhash64(staged_id), bits)
+    alone = valid(tag(staging.filter(~repeats)))
+    return alone.unionByName(dedup_keep_first(valid(tag(staging.filter(repeats)))))
+
+
 def duplicate_census(staging: DataFrame) -> DataFrame:
     """Rows whose non-null transaction id occurs more than once, per id.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -16,6 +17,8 @@ from balcao.operators.ordered import number_rows
 
 PERIOD, CATEGORY, STATE, STATUS = "period", "category", "state", "status"
 ALL_AXES = (PERIOD, CATEGORY, STATE, STATUS)
+#: The column that names a stored fact's month folders.
+MONTH = "sale_month"
 
 
 @dataclass(frozen=True)
@@ -52,17 +55,21 @@ def default_selection(sales: DataFrame) -> Selection:
 
 def default_period(sales: DataFrame) -> DataFrame:
     """The default selection as a row: bounds and the completed statuses that occur, by name."""
-    chosen = default_selection(sales)
-    row = (chosen.start, chosen.end, ", ".join(sorted(chosen.statuses)))
-    return sales.sparkSession.createDataFrame([row], "first_date date, last_date date, statuses string")
+    done = F.collect_set(F.when(F.col("status").isin(vocab.COMPLETED), F.col("status")))
+    return sales.agg(
+        F.min("sale_date").alias("first_date"), F.max("sale_date").alias("last_date"),
+        F.array_join(F.sort_array(done), ", ").alias("statuses"),
+    )
 
 
 def preset_periods(sales: DataFrame) -> DataFrame:
-    """Start and end of every preset, resolved over the sales."""
-    bounds = date_bounds(sales).first()
-    presets = [vocab.PRESET_ALL, *vocab.PRESET_DAYS, vocab.PRESET_YEAR]
-    rows = [(p, *resolve_period(p, bounds["first_date"], bounds["last_date"])) for p in presets if bounds["last_date"]]
-    return sales.sparkSession.createDataFrame(rows, "preset string, first_date date, last_date date")
+    """Start and end of every preset over the sales; no row without sales."""
+    first, last = F.col("first_date"), F.col("last_date")
+    starts = {vocab.PRESET_ALL: first}
+    starts |= {name: F.date_sub(last, days) for name, days in vocab.PRESET_DAYS.items()}
+    starts[vocab.PRESET_YEAR] = F.trunc(last, "year")
+    rows = [F.struct(F.lit(p).alias("preset"), s.alias("first_date"), last.alias("last_date")) for p, s in starts.items()]
+    return date_bounds(sales).filter(last.isNotNull()).select(F.inline(F.array(*rows)))
 
 
 def resolve_period(
@@ -85,6 +92,33 @@ def month_text(day: dt.date | None) -> str | None:
     return day.isoformat()[:7] if day else None
 
 
+def first_of_month(bound: dt.date | str | None) -> dt.date | None:
+    """The month of a day or of a ``yyyy-mm`` text, as its first day."""
+    if bound is None:
+        return None
+    return dt.date.fromisoformat(f"{month_text(bound) if isinstance(bound, dt.date) else bound}-01")
+
+
+def in_months(sales: DataFrame, start: dt.date | str | None, end: dt.date | str | None) -> DataFrame:
+    """Sales of the whole months from that of ``start`` to that of ``end``; None is no bound.
+
+    Over a stored fact the test is on the column of its month folders, so other
+    folders are not opened, through the star join too. Sales without that column
+    are tested by day.
+    """
+    lo, hi = first_of_month(start), first_of_month(end)
+    column = next((c for c in (MONTH, "sale_date", "year_month") if c in sales.columns), None)
+    if column is None:
+        return sales
+    if column == "sale_date" and hi is not None:
+        hi = dt.date(hi.year, hi.month, calendar.monthrange(hi.year, hi.month)[1])
+    if column == "year_month":
+        lo, hi = month_text(lo), month_text(hi)
+    if lo is not None:
+        sales = sales.filter(F.col(column) >= F.lit(lo))
+    return sales if hi is None else sales.filter(F.col(column) <= F.lit(hi))
+
+
 def axis_test(df: DataFrame, chosen: Selection, axis: str) -> Column:
     """Whether a row of ``df`` is chosen on one axis; an axis without a column or a choice keeps every row.
 
@@ -111,6 +145,8 @@ def apply_selection(df: DataFrame, chosen: Selection, axes: Iterable[str] = ALL_
     unknown = axes - set(ALL_AXES)
     if unknown:
         raise ValueError(f"unknown filter axes: {sorted(unknown)}")
+    if PERIOD in axes and MONTH in df.columns:
+        out = in_months(out, chosen.start, chosen.end)
     for axis in ALL_AXES:
         if axis in axes:
             out = out.filter(axis_test(df, chosen, axis))

@@ -85,7 +85,7 @@ def add_sale_key(fact: DataFrame) -> DataFrame:
 def sales_enriched(
     fact: DataFrame, calendar: DataFrame, customers: DataFrame, products: DataFrame, locations: DataFrame
 ) -> DataFrame:
-    """Fact with its dimensions, one row per item."""
+    """Fact with its dimensions, one row per item; a stored fact's month comes along, for filters to prune by."""
     months = calendar.select(F.col("day").alias("sale_date"), "year_month", "year", "month")
     joined = (
         fact.join(months, "sale_date")
@@ -93,10 +93,13 @@ def sales_enriched(
         .join(products, "product_key")
         .join(locations, "location_key")
     )
-    key = ["sale_key"] if "sale_key" in fact.columns else []
+    def own(name: str) -> list[str]:
+        return [name] if name in fact.columns else []
+
     return joined.select(
-        *key, "txn_id", "order_id", "sale_date", "year_month", "year", "month", "customer_id", "product",
+        *own("sale_key"), "txn_id", "order_id", "sale_date", "year_month", "year", "month", "customer_id", "product",
         "category", "city", "state", "country", "quantity", "unit_price", "amount", "payment_method", "status",
+        *own("sale_month"),
     )
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from balcao.operators.cuts import distribution
 from balcao.operators.kpis import completed
-from balcao.operators.ordered import average_ranks, counted, distribution
+from balcao.operators.ordered import average_ranks
 from balcao.session import written
 
 QUARTILES = {"q1": (1, 4), "median": (1, 2), "q3": (3, 4)}
@@ -17,7 +18,7 @@ CUSTOMER_MEASURES = ["recency_days", "frequency", "monetary"]
 
 def describe_sales(sales: DataFrame) -> DataFrame:
     """Min, quartiles, mean, max and deviation of price, quantity, item and order amount."""
-    base = completed(sales)
+    base = written(completed(sales).select("order_id", "unit_price", "quantity", "amount"), "items")
     wide = "decimal(18,2)"
     items = base.select(
         F.col("unit_price").cast(wide).alias("unit_price"),
@@ -27,27 +28,26 @@ def describe_sales(sales: DataFrame) -> DataFrame:
     orders = base.groupBy("order_id").agg(F.sum("amount").alias("value")).select(
         F.lit("order_amount").alias("metric"), F.col("value").cast(wide).alias("value")
     )
-    counts = counted(items, ["metric"], "value").unionByName(counted(orders, ["metric"], "value"))
-    spread = distribution(counts, ["metric"], "value", QUARTILES)
+    spread = distribution(items.unionByName(orders), ["metric"], "value", QUARTILES)
     metrics = sales.sparkSession.createDataFrame([(m,) for m in DESCRIBED], "metric string")
     return metrics.join(spread, "metric", "left").select("metric", "minimum", "q1", "median", "mean", "q3", "maximum", "stddev")
 
 
 def price_outliers(sales: DataFrame) -> DataFrame:
     """Per category the Tukey and three-sigma upper limits and how many prices exceed each."""
-    counts = counted(completed(sales).select("category", "unit_price"), ["category"], "unit_price")
-    limits = distribution(counts, ["category"], "unit_price", QUARTILES).select(
+    prices = written(completed(sales).select("category", "unit_price"), "prices")
+    limits = distribution(prices, ["category"], "unit_price", QUARTILES).select(
         "category", "n", "q1", "q3",
         (F.col("q3") + F.lit("1.5").cast("decimal(2,1)") * (F.col("q3") - F.col("q1"))).alias("upper_iqr"),
         (F.col("mean").cast("double") + 3 * F.col("stddev")).alias("upper_z"),
     )
-    price, weight = F.col("unit_price"), F.col("weight")
+    price = F.col("unit_price")
     return (
-        counts.join(written(limits, "limits"), "category")
+        prices.join(written(limits, "limits"), "category")
         .groupBy("category", "n", "q1", "q3", "upper_iqr", "upper_z")
         .agg(
-            F.sum(F.when(price > F.col("upper_iqr"), weight).otherwise(0)).alias("outliers_iqr"),
-            F.sum(F.when(price.cast("double") > F.col("upper_z"), weight).otherwise(0)).alias("outliers_z"),
+            F.count_if(price > F.col("upper_iqr")).alias("outliers_iqr"),
+            F.count_if(price.cast("double") > F.col("upper_z")).alias("outliers_z"),
         )
         .select(
             "category", "n",
@@ -95,22 +95,15 @@ def pearson_matrix(df: DataFrame, measures: list[str]) -> DataFrame:
 
 
 def spearman_matrix(df: DataFrame, measures: list[str]) -> DataFrame:
-    """Spearman correlation: Pearson over average ranks.
+    """Spearman correlation: Pearson over average ranks, of the rows that have every measure.
 
-    Ranks per distinct value are written and joined to the rows: few values are
-    broadcast from their known size, and a hot value among many is split at run
-    time. Ranks are centred on their known mean (n + 1) / 2 before the products
-    are summed.
+    Ranks come centred on their known mean, so products are summed directly.
     """
-    ranked = df.select(*measures)
-    for m in measures:
-        ranks = average_ranks(counted(df.select(m), [], m), m)
-        centred = (F.col("rank") - (F.col("n") + 1) / F.lit(2.0)).alias(f"_rank_{m}")
-        # A measure that was joined already is not carried along.
-        ranked = ranked.join(written(ranks.select(m, centred), "ranks"), m).drop(m)
+    whole = df.select(*measures).dropna().withColumn("_row", F.monotonically_increasing_id())
+    ranked = average_ranks(written(whole, "measures"), "_row", measures)
 
     def total(a: str, b: str) -> Column:
-        return F.sum(F.col(f"_rank_{a}") * F.col(f"_rank_{b}"))
+        return F.sum(F.col(a) * F.col(b))
 
     pair = {
         (a, b): F.try_divide(total(a, b), F.sqrt(total(a, a)) * F.sqrt(total(b, b)))

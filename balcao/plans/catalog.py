@@ -17,6 +17,7 @@ from balcao.plans.registry import filter_contract, filtered_view, read_view
 from balcao.session import scratch_path, written
 from balcao.sources.driver_tables import dirty_feed, load_sales
 from balcao.sources.raw import read_raw_sales, staging_columns
+from balcao.sources.staged import sales_house, staged_feed
 from balcao.sources.warehouse import Warehouse, layer_counts, quarantine_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,19 +54,24 @@ def sales_query(name: str, build: Callable[[DataFrame], DataFrame], *columns: st
     _register(name, build, lambda spark, sf_dir: load_sales(spark, sf_dir, *columns))
 
 
+def stored_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    """A query over the sales of a stored warehouse, whose fact lies by month."""
+    _register(name, build, lambda spark, sf_dir: load.sales_of(sales_house(spark, sf_dir, load.store_sales)))
+
+
 def feed_query(name: str, build: Callable[[DataFrame], DataFrame], clashing_ids: bool = False) -> None:
-    """A query over the raw feed."""
-    _register(name, build, lambda spark, sf_dir: dirty_feed(spark, sf_dir, clashing_ids))
+    """A query over the staged feed."""
+    _register(name, build, lambda spark, sf_dir: staged_feed(spark, sf_dir, clashing_ids))
 
 
 def tagged_query(name: str, build: Callable[[DataFrame], DataFrame], clashing_ids: bool = False) -> None:
     """A query over the validated feed."""
-    _register(name, build, lambda spark, sf_dir: quality.tag(dirty_feed(spark, sf_dir, clashing_ids)))
+    feed_query(name, lambda feed: build(quality.tag(feed)), clashing_ids)
 
 
 def accepted_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     """A query over accepted rows, written once because several tables derive from them."""
-    tagged_query(name, lambda tagged: build(written(quality.accepted(tagged), "accepted")))
+    feed_query(name, lambda feed: build(written(quality.accepted_rows(feed), "accepted")))
 
 
 def chosen(sales: DataFrame) -> selection.Selection:
@@ -144,7 +150,7 @@ def _stored_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["read_raw_sales"] = _read_raw
 QUERIES["read_broken_lines"] = _broken_lines
 QUERIES["load_pipeline"] = lambda spark, sf_dir: plain(
-    load.sales_of(_loaded(spark, sf_dir)).drop("sale_key"))
+    load.sales_of(_loaded(spark, sf_dir)).drop("sale_key", "sale_month"))
 QUERIES["layer_counts"] = _stored_layers
 feed_query("staging_projection", staging_columns)
 tagged_query("quarantine_records", lambda t: quarantine_records(quality.rejected(t)))
@@ -168,9 +174,9 @@ feed_query("category_census", lambda f: quality.value_census(f, "category"))
 feed_query("quantity_signs", quality.quantity_signs)
 
 tagged_query("reject_reason", lambda t: t.select("raw.*", "reason"))
-tagged_query("split_accepted", lambda t: quality.accepted(t).drop("ordinal"))
+feed_query("split_accepted", lambda f: quality.accepted_rows(f).drop("ordinal"))
 tagged_query("split_rejected", lambda t: quality.rejected(t).select("raw.*", "reason"))
-tagged_query("dedup_keep_first", lambda t: quality.accepted(t).drop("ordinal"), clashing_ids=True)
+feed_query("dedup_keep_first", lambda f: quality.accepted_rows(f).drop("ordinal"), clashing_ids=True)
 feed_query("duplicate_census", quality.duplicate_census, clashing_ids=True)
 tagged_query("load_balance", quality.load_balance)
 feed_query("null_census", quality.null_census)
@@ -180,7 +186,7 @@ tagged_query("distinct_before_after", quality.distinct_before_after)
 tagged_query("reject_census", quality.reject_census)
 tagged_query("load_report", quality.load_report)
 tagged_query("rejected_share", quality.rejected_share)
-tagged_query("status_domain", lambda t: quality.status_domain(quality.accepted(t)))
+feed_query("status_domain", lambda f: quality.status_domain(quality.accepted_rows(f)))
 
 # ---- star schema ------------------------------------------------------------
 
@@ -192,14 +198,14 @@ def _violations(accepted: DataFrame) -> DataFrame:
     )
 
 
-def _violations_of_feed(tagged: DataFrame) -> DataFrame:
+def _violations_of_feed(feed: DataFrame) -> DataFrame:
     """All typed rows, rejected ones and repeats too, against the dimensions of the accepted ones."""
-    t = load.star_from(written(quality.accepted(tagged), "accepted"))
+    t = load.star_from(written(quality.accepted_rows(feed), "accepted"))
     natural = {
         "customer_key": ["customer_id"], "product_key": ["product", "category"],
         "location_key": ["city", "state", "country"],
     }
-    rows = tagged.select("clean.*")
+    rows = quality.tag(feed).select("clean.*")
     for key, name in (("customer_key", "dim_customer"), ("product_key", "dim_product"), ("location_key", "dim_location")):
         rows = rows.join(t[name], natural[key], "left")
     return star.constraint_violations(
@@ -221,7 +227,7 @@ accepted_query("generated_amount", lambda a: a.select("txn_id", star.amount().al
 accepted_query("fact_with_sale_key", lambda a: star.add_sale_key(load.star_from(a)["fact_sales"]))
 accepted_query("sales_enriched", _enriched_with_key)
 accepted_query("constraint_violations", _violations)
-tagged_query("constraint_violations_dirty", _violations_of_feed)
+feed_query("constraint_violations_dirty", _violations_of_feed)
 
 # ---- revenue, KPIs, retention, churn ----------------------------------------
 
@@ -328,8 +334,9 @@ sales_query("date_bounds", selection.date_bounds, "sale_date")
 sales_query("default_selection", selection.default_period, "sale_date", "status")
 sales_query("preset_periods", selection.preset_periods, "sale_date")
 sales_query("filter_contract", lambda s: filter_contract(s, chosen(s)), *dict.fromkeys((*CUBE_COLUMNS, *CUSTOMER_COLUMNS)))
-sales_query("selected_sales", lambda s: selected("sales", s))
-sales_query("selected_cube", lambda s: selected("revenue_cube", s), "sale_date", *CUBE_COLUMNS)
+stored_query("selected_sales", lambda s: selected("sales", s))
+stored_query("selected_cube", lambda s: selected("revenue_cube", s))
+stored_query("selected_kpis", lambda s: selected("kpi_monthly", s))
 sales_query("kpi_vs_previous", lambda s: selection.kpi_vs_previous(kpis.kpi_monthly(s), chosen(s)), *CUSTOMER_COLUMNS)
 sales_query("revenue_by_month", lambda s: selection.revenue_by_month(selected("revenue_cube", s)), "sale_date", *CUBE_COLUMNS)
 sales_query("revenue_peak", lambda s: selection.revenue_peak(finished_cube(s)), *CUBE_COLUMNS)

@@ -56,7 +56,7 @@ def run_load(
     stored["quarantine"] = house.store("quarantine", records, version)
     stored["load_report"] = house.store("load_report", quality.load_report(tagged), version)
 
-    accepted = written(quality.accepted(tagged), "accepted")
+    accepted = written(quality.accepted_rows(stored["staging"]), "accepted")
     tables = star_from(accepted)
     for name in ("dim_calendar", "dim_customer", "dim_product", "dim_location"):
         stored[name] = house.store(name, tables[name], version)
@@ -84,8 +84,23 @@ def summary(stored: dict[str, DataFrame], accepted: DataFrame) -> dict[str, int]
     return counts
 
 
+def store_sales(house: Warehouse, sales: DataFrame) -> None:
+    """Replace the star tables by clean sales, as a load does with accepted rows."""
+    version = house.new_version()
+    sales = written(sales, "sales")
+    dims = ("dim_customer", "dim_product", "dim_location")
+    tables = star_from(sales)
+    stored = {name: house.store(name, tables[name], version) for name in ("dim_calendar", *dims)}
+    house.store_fact(star.load_fact(sales, *(stored[d] for d in dims)), version)
+    house.publish(version, [*stored, "fact_sales"])
+
+
 def sales_of(house: Warehouse) -> DataFrame:
-    """The enriched sales view over the stored star tables."""
+    """The enriched sales view over the stored star tables.
+
+    It has the fact's ``sale_month`` besides, by which ``filtered_view`` and
+    ``in_months`` prune the month folders.
+    """
     names = ("dim_calendar", "dim_customer", "dim_product", "dim_location", "fact_sales")
     return enriched({name: house.read(name) for name in names})
 

@@ -15,21 +15,24 @@ from pyspark.sql import functions as F
 
 from balcao.operators import customers, forecast, kpis, products
 from balcao.operators.selection import (
-    ALL_AXES, CATEGORY, PERIOD, Selection, apply_selection, axis_test,
+    ALL_AXES, CATEGORY, MONTH, PERIOD, Selection, apply_selection, axis_test, in_months,
 )
 
 
 @dataclass(frozen=True)
 class Dataset:
+    """``looks_back``: rows of a month depend on sales of earlier months, as growth and churn do."""
+
     build: Callable[[DataFrame], DataFrame]
     axes: tuple[str, ...] = ()
+    looks_back: bool = False
 
 
 DATASETS: dict[str, Dataset] = {
     "sales": Dataset(lambda sales: sales, ALL_AXES),
     "revenue_cube": Dataset(kpis.revenue_cube, ALL_AXES),
-    "category_mom": Dataset(products.category_mom, (PERIOD, CATEGORY)),
-    "kpi_monthly": Dataset(kpis.kpi_monthly, (PERIOD,)),
+    "category_mom": Dataset(products.category_mom, (PERIOD, CATEGORY), looks_back=True),
+    "kpi_monthly": Dataset(kpis.kpi_monthly, (PERIOD,), looks_back=True),
     "rfm": Dataset(customers.rfm),
     "cohort_retention": Dataset(customers.cohort_retention),
     "retention_curve": Dataset(customers.retention_curve),
@@ -43,7 +46,7 @@ DATASETS: dict[str, Dataset] = {
 
 def read_view(name: str, sales: DataFrame) -> DataFrame:
     """The whole dataset as a lazy frame."""
-    return DATASETS[name].build(sales)
+    return DATASETS[name].build(sales).drop(MONTH)
 
 
 def filtered_view(
@@ -51,15 +54,19 @@ def filtered_view(
 ) -> DataFrame:
     """The dataset under the selection, on ``axes`` or on all it accepts.
 
-    The filter sits above the dataset: windows see the whole base, while plain
-    aggregates let the engine push it down to the files.
+    The filter sits above the dataset, so windows see what they need; plain
+    aggregates let the engine push it down. The months of the period are also
+    tested below it, where a stored fact skips whole folders: no dataset depends
+    on later months, and those that look back are read from the start.
     """
     accepted = DATASETS[name].axes
     wanted = tuple(accepted if axes is None else axes)
     refused = [a for a in wanted if a not in accepted]
     if refused:
         raise ValueError(f"{name} does not accept the filters {', '.join(refused)}")
-    return apply_selection(read_view(name, sales), chosen, wanted)
+    if PERIOD in wanted:
+        sales = in_months(sales, None if DATASETS[name].looks_back else chosen.start, chosen.end)
+    return apply_selection(DATASETS[name].build(sales), chosen, wanted).drop(MONTH)
 
 
 def filter_contract(sales: DataFrame, chosen: Selection) -> DataFrame:

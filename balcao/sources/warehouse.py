@@ -61,7 +61,7 @@ class Warehouse:
         return self.spark.read.parquet(self.folder(table, version))
 
     def store_fact(self, fact: DataFrame, version: str) -> DataFrame:
-        """Fact by month folders, so a period filter skips files.
+        """Fact by month folders; a test on ``sale_month`` opens only those of the period.
 
         The rebalance hint lets the engine split a month that holds much of the
         data over several files and merge small ones.
