@@ -200,7 +200,7 @@ def _gaps(sales: DataFrame) -> DataFrame:
 
 def purchase_intervals(sales: DataFrame) -> DataFrame:
     """Distribution of the gaps, one row even without gaps."""
-    gaps = _gaps(sales).select(F.lit("gap_days").alias("metric"), "gap_days")
+    gaps = written(_gaps(sales), "gaps").select(F.lit("gap_days").alias("metric"), "gap_days")
     probs = {"median": (1, 2), "p75": (3, 4), "p90": (9, 10), "p95": (19, 20)}
     spread = distribution(gaps, ["metric"], "gap_days", probs)
     metrics = sales.sparkSession.createDataFrame([("gap_days",)], "metric string")

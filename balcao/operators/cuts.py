@@ -1,9 +1,9 @@
 """Exact order statistics without sorting all rows.
 
-A mergeable sketch gives two bounds around every wanted rank, one pass counts
-exactly how many rows lie below and between them, and only the rows between are
-sorted. Where a count shows that a bound missed its rank, the bounds are widened
-until they hold it. Rows are therefore never moved whole, and never all.
+One pass counts the rows per bucket of a logarithmic histogram, a mergeable
+quantile sketch whose counts are exact. They tell which bucket holds a wanted
+rank and how many rows lie before it, and only the distinct values of those
+buckets are sorted. Rows are never moved whole, and never all.
 """
 
 from __future__ import annotations
@@ -12,87 +12,84 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from balcao.operators.ordered import div, number_rows
 from balcao.session import written
 
-#: The sketch is off by at most one part in so many of the rows.
-ACCURACY = 10_000
-#: Share of the rows between a wanted rank and its bounds; the last takes all rows.
-WIDTHS = (2 / ACCURACY, 0.02, 1.0)
+#: Buckets per doubling of the value, of which a group's histogram has at most some hundred thousand in all. A bucket
+#: spans 0.02 % of its value, so it holds a bounded number of distinct amounts, however many rows.
+OCTAVE = 4096
 
 #: A rank counted from 0 as a column, from the column of the group's size.
 Rank = Callable[[Column], Column]
 
 
-def at_ranks(
-    items: DataFrame, groups: list[str], targets: dict[str, tuple[float, dict[str, Rank]]], ties: str | None = None,
-    first: tuple[Column, ...] = (), second: tuple[Column, ...] = (),
-) -> DataFrame:
-    """Per group ``n`` and the values at the wanted ranks, in order of ``v`` and then ``ties``.
+def _bucket(v: Column) -> Column:
+    """Grows with ``v``, which has two decimals."""
+    size = F.floor(F.log2(F.abs(v).cast("double") * 100 + 1) * OCTAVE)
+    return F.when(v < 0, -size).otherwise(size).cast("int").alias("_bucket")
 
-    ``items`` has ``groups``, ``v`` (not NULL) and ``ties``, unique within a group
-    if given; it is read three times, so it should come from a written table.
-    ``targets`` maps names to the share of the rows that a rank lies near, and the
-    ranks by suffix; the result is ``name_suffix``, a value or with ``ties`` a
-    struct. ``first`` and ``second`` are further aggregates of the two counting
-    passes, the second of which sees the results of the first.
+
+def at_ranks(items: DataFrame, groups: list[str], targets: dict[str, Rank], whole: DataFrame | None = None) -> DataFrame:
+    """Per group ``n`` and for each target the value at its rank, with the rows of smaller values and of the same.
+
+    ``items`` has ``groups`` and ``v``, a decimal of two places, and is read twice,
+    so it should come from a written table. ``whole`` is its ``histogram``, where
+    that is known. Targets are structs (v, before, copies); NULL where the rank is
+    out of range.
     """
-    n, v = F.col("n"), F.col("v")
-    names = list(targets)
-    for width in WIDTHS:
-        shares = [min(1.0, max(0.0, targets[t][0] + side)) for t in names for side in (-width, width)]
-        bounds = F.percentile_approx("v", shares, ACCURACY)
-        if width == WIDTHS[-1]:
-            bounds = F.flatten(F.array_repeat(F.array(F.min("v"), F.max("v")), len(names)))
-        sketch = items.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), bounds.alias("_bounds"), *first)
-        # A few columns per group, written so that the engine knows the size; few groups are broadcast.
-        sketch = written(sketch, "sketch")
-        lo = {t: F.get("_bounds", F.lit(2 * i)) for i, t in enumerate(names)}
-        hi = {t: F.get("_bounds", F.lit(2 * i + 1)) for i, t in enumerate(names)}
-        near = items.join(sketch, groups)
-        exact = near.groupBy(*groups).agg(
-            *[F.count_if(v < lo[t]).alias(f"_below_{t}") for t in names],
-            *[F.count_if(v.between(lo[t], hi[t])).alias(f"_inside_{t}") for t in names], *second,
-        )
-        counts = written(sketch.join(exact, groups), "counts")
-        held = [
-            (at(n) >= F.col(f"_below_{t}")) & (at(n) < F.col(f"_below_{t}") + F.col(f"_inside_{t}"))
-            for t in names for at in targets[t][1].values()
-        ]
-        missed = ~held[0]
-        for test in held[1:]:
-            missed = missed | ~test
-        if width == WIDTHS[-1] or counts.filter(missed).isEmpty():
-            break
-
-    order = ["v", ties] if ties else ["v"]
-    spots = F.filter(F.array(*[F.when(v.between(lo[t], hi[t]), F.lit(t)) for t in names]), lambda t: t.isNotNull())
-    inside = near.select(*groups, *order, F.explode(spots).alias("_target"))
-    inside = inside.groupBy(*groups, "_target", *order).agg(F.count(F.lit(1)).alias("_weight"))
-    ranked = number_rows(inside, [F.col(c) for c in (*groups, "_target", *order)], running=("_weight",))
-    start = (F.col("run__weight") - F.col("_weight")).alias("_start")
-    starts = ranked.groupBy(*groups, "_target").agg(F.min(start).alias("_start"))
-    placed = ranked.join(starts, [*groups, "_target"]).join(counts, groups)
-    upto = F.col("run__weight") - F.col("_start")
-    value = F.struct(*order) if ties else v
-    picked = []
-    for t in names:
-        last = upto + F.col(f"_below_{t}")
-        for suffix, at in targets[t][1].items():
-            here = (F.col("_target") == t) & (at(n) < last) & (at(n) >= last - F.col("_weight"))
-            picked.append(F.max(F.when(here, value)).alias(f"{t}_{suffix}"))
-    known = [c for c in counts.columns if c != "_bounds" and not c.startswith(("_below_", "_inside_"))]
-    return counts.select(*known).join(placed.groupBy(*groups).agg(*picked), groups)
+    hist = written(histogram(items, groups), "histogram") if whole is None else whole
+    # A group has few buckets, which do not grow with its rows.
+    own = Window.partitionBy(*groups)
+    before = F.coalesce(F.sum("_size").over(own.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sized = hist.select(*groups, "_bucket", "_size", before.alias("_before"), F.sum("_size").over(own).alias("n"))
+
+    def spots(start: Column, size: Column) -> Column:
+        """The targets whose rank is one of ``size`` from ``start``."""
+        named = [F.when((at(F.col("n")) >= start) & (at(F.col("n")) < start + size), F.lit(name)) for name, at in targets.items()]
+        return F.filter(F.array(*named), lambda s: s.isNotNull())
+
+    held = sized.withColumn("_spots", spots(F.col("_before"), F.col("_size"))).filter(F.size("_spots") > 0)
+    # At most one row per group and target, written so that the engine knows the size.
+    held = written(held.select(*groups, "n", "_bucket", "_before"), "held")
+    values = (
+        items.select(*groups, "v", _bucket(F.col("v"))).join(held, [*groups, "_bucket"])
+        .groupBy(*groups, "n", "_bucket", "_before", "v").agg(F.count(F.lit(1)).alias("copies"))
+    )
+    smaller = Window.partitionBy(*groups, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    values = values.withColumn("before", F.col("_before") + F.coalesce(F.sum("copies").over(smaller), F.lit(0)))
+    values = values.withColumn("_spots", spots(F.col("before"), F.col("copies")))
+    found = F.struct("v", "before", "copies")
+    return values.filter(F.size("_spots") > 0).groupBy(*groups, "n").agg(
+        *[F.max(F.when(F.array_contains("_spots", name), found)).alias(name) for name in targets]
+    )
+
+
+def histogram(items: DataFrame, groups: list[str], *more: Column) -> DataFrame:
+    """Rows per group and bucket, merged before they move; ``more`` aggregates besides."""
+    return items.groupBy(*groups, _bucket(F.col("v"))).agg(F.count(F.lit(1)).alias("_size"), *more)
 
 
 def distribution(items: DataFrame, groups: list[str], value: str, probs: dict[str, tuple[int, int]]) -> DataFrame:
     """Per group n, min, max, mean, stddev_samp and exact interpolated quantiles; NULL values are left out.
 
-    ``probs`` maps output names to fractions (numerator, denominator).
+    ``items`` is read twice, so it should come from a written table. ``probs``
+    maps output names to fractions (numerator, denominator). All figures but the
+    quantiles follow from the histogram, which keeps each bucket's moments.
     """
-    v = F.col(value).cast("decimal(18,2)")
-    rows = written(items.filter(F.col(value).isNotNull()).select(*groups, v.alias("v")), "values")
+    rows = items.filter(F.col(value).isNotNull()).select(*groups, F.col(value).cast("decimal(18,2)").alias("v"))
+    number = F.col("v").cast("double")
+    moments = (F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("v").alias("sum"), F.avg(number).alias("avg"), F.var_pop(number).alias("var"))
+    hist = written(histogram(rows, groups, *moments), "histogram")
+    size = F.col("_size")
+    mean = hist.groupBy(*groups).agg(
+        F.sum(size).alias("n"), F.min("lo").alias("minimum"), F.max("hi").alias("maximum"),
+        (F.sum("sum") / F.sum(size)).alias("mean"),
+    )
+    # The spread around the mean is that within the buckets and that between them.
+    off = F.col("avg") - F.col("mean").cast("double")
+    spread = hist.join(mean.select(*groups, "mean"), groups).groupBy(*groups).agg(F.sum(size * (F.col("var") + off * off)).alias("_squares"))
 
     def low(num: int, den: int) -> Rank:
         return lambda n: div((n - 1) * num, F.lit(den))
@@ -100,18 +97,13 @@ def distribution(items: DataFrame, groups: list[str], value: str, probs: dict[st
     def high(num: int, den: int) -> Rank:
         return lambda n: div((n - 1) * num, F.lit(den)) + F.when(((n - 1) * num) % den > 0, 1).otherwise(0)
 
-    targets = {name: (num / den, {"low": low(num, den), "high": high(num, den)}) for name, (num, den) in probs.items()}
-    off = F.col("v").cast("double") - F.col("mean").cast("double")
-    found = at_ranks(
-        rows, groups, targets,
-        first=(F.min("v").alias("minimum"), F.max("v").alias("maximum"), (F.sum("v") / F.count(F.lit(1))).alias("mean")),
-        second=(F.sum(off * off).alias("_squares"),),
-    )
+    targets = {f"{name}_{end}": at(num, den) for name, (num, den) in probs.items() for end, at in (("low", low), ("high", high))}
+    found = at_ranks(rows, groups, targets, hist).drop("n")
     quantiles = []
     for name, (num, den) in probs.items():
         rest = (((F.col("n") - 1) * num) % den).cast("decimal(10,0)")
-        quantiles.append(((F.col(f"{name}_low") * (den - rest) + F.col(f"{name}_high") * rest) / den).cast("decimal(24,6)").alias(name))
-    return found.select(
+        quantiles.append(((F.col(f"{name}_low.v") * (den - rest) + F.col(f"{name}_high.v") * rest) / den).cast("decimal(24,6)").alias(name))
+    return mean.join(spread, groups).join(found, groups).select(
         *groups, "n", "minimum", "maximum", F.col("mean").cast("decimal(24,6)").alias("mean"),
         F.sqrt(F.try_divide(F.col("_squares"), F.col("n") - 1)).alias("stddev"), *quantiles,
     )
@@ -122,28 +114,42 @@ class Tiles:
 
     ``orders`` maps names to ascending numeric keys; ``ties``, a unique column,
     breaks their ties. A row's tile is one more than the number of tiles that end
-    before it, so the rows themselves are neither sorted nor written. ``upto``
-    leaves out the ends of later tiles; their rows then share one number.
+    before it, so the rows themselves are neither sorted nor written. Only where
+    a tile ends among rows of equal key are those sorted, by ``ties`` alone.
+    ``upto`` leaves out the ends of later tiles; their rows then share one number.
     """
 
     def __init__(self, rows: DataFrame, orders: dict[str, Column], ties: str, tiles: int, upto: int | None = None):
         self.orders, self.ties = orders, ties
-        keyed = F.array(*[F.struct(F.lit(name).alias("order"), key.cast("decimal(24,2)").alias("v")) for name, key in orders.items()])
+        keyed = F.array(*[F.struct(F.lit(name).alias("order"), key.cast("decimal(18,2)").alias("v")) for name, key in orders.items()])
         items = rows.select(F.inline(keyed), ties)
 
         def end(t: int) -> Rank:
             return lambda n: t * div(n, F.lit(tiles)) + F.least(F.lit(t).cast("long"), n % tiles) - 1
 
-        targets = {f"t{t}": (t / tiles, {"end": end(t)}) for t in range(1, (upto or tiles - 1) + 1)}
-        found = at_ranks(items, ["order"], targets, ties)
-        # One row per order with the ends of its tiles.
-        self.ends = {r["order"]: [r[f"{t}_end"] for t in targets] for r in found.collect()}
+        targets = {f"t{t}": end(t) for t in range(1, (upto or tiles - 1) + 1)}
+        # One row per order: the key that each tile ends with, and the place of its last row among those of equal key.
+        places = [F.struct(f"{t}.v", f"{t}.before", f"{t}.copies", (end(int(t[1:]))(F.col("n")) - F.col(f"{t}.before")).alias("nth")).alias(t) for t in targets]
+        found = {r["order"]: [r[t] for t in targets] for r in at_ranks(items, ["order"], targets).select("order", *places).collect()}
+        ends = sorted({(o, e["v"], e["nth"], e["copies"]) for o, own in found.items() for e in own})
+        split = [e for e in ends if e[2] + 1 < e[3]]
+        cut = dict.fromkeys(ends)
+        if split:
+            keys = sorted({e[:2] for e in split})
+            which = F.coalesce(*[F.when((F.col("order") == o) & (F.col("v") == F.lit(v)), i) for i, (o, v) in enumerate(keys)])
+            tied = number_rows(items.select(which.alias("_key"), ties).filter("_key is not null"), [F.col("_key"), F.col(ties)])
+            copies = {e[:2]: e[3] for e in split}
+            begin = {k: sum(copies[other] for other in keys[:i]) for i, k in enumerate(keys)}
+            wanted = {begin[e[:2]] + e[2] + 1: e for e in split}
+            cut |= {wanted[r["row_num"]]: r[ties] for r in tied.filter(F.col("row_num").isin(*wanted)).select("row_num", ties).collect()}
+        self.ends = {o: [(e["v"], cut[(o, e["v"], e["nth"], e["copies"])]) for e in own] for o, own in found.items()}
 
     def of(self, order: str) -> Column:
         """The tile of a row."""
-        key, tie = self.orders[order].cast("decimal(24,2)"), F.col(self.ties)
-        out = F.lit(1)
-        for end in self.ends.get(order, []):
-            last = F.lit(end["v"]).cast("decimal(24,2)")
-            out = out + F.when((key > last) | ((key == last) & (tie > F.lit(end[self.ties]))), 1).otherwise(0)
+        key, out = self.orders[order].cast("decimal(18,2)"), F.lit(1)
+        for v, tie in self.ends.get(order, []):
+            beyond = key > F.lit(v)
+            if tie is not None:
+                beyond = beyond | ((key == F.lit(v)) & (F.col(self.ties) > F.lit(tie)))
+            out = out + F.when(beyond, 1).otherwise(0)
         return out

@@ -91,7 +91,7 @@ def average_ranks(rows: DataFrame, key: str, measures: list[str]) -> DataFrame:
     each, and what those hold of it is a table of one row per range and measure.
     The ranks meet by row once. No value is NULL, and ``key`` is unique.
     """
-    values = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("decimal(24,2)").alias("v")) for i, c in enumerate(measures)])
+    values = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("decimal(18,2)").alias("v")) for i, c in enumerate(measures)])
     placed = _placed(rows.select(key, F.inline(values)), [F.col("m"), F.col("v"), F.col(key)])
     run = Window.partitionBy("_part", "m", "v")
     runs = placed.select(key, "_part", "m", "v", F.min("_pos").over(run).alias("_first"), F.count(F.lit(1)).over(run).alias("_ties"))

@@ -25,10 +25,9 @@ def describe_sales(sales: DataFrame) -> DataFrame:
         F.col("quantity").cast(wide).alias("quantity"),
         F.col("amount").cast(wide).alias("item_amount"),
     ).unpivot([], ["unit_price", "quantity", "item_amount"], "metric", "value")
-    orders = base.groupBy("order_id").agg(F.sum("amount").alias("value")).select(
-        F.lit("order_amount").alias("metric"), F.col("value").cast(wide).alias("value")
-    )
-    spread = distribution(items.unionByName(orders), ["metric"], "value", QUARTILES)
+    orders = written(base.groupBy("order_id").agg(F.sum("amount").cast(wide).alias("value")).select("value"), "orders")
+    values = items.unionByName(orders.select(F.lit("order_amount").alias("metric"), "value"))
+    spread = distribution(values, ["metric"], "value", QUARTILES)
     metrics = sales.sparkSession.createDataFrame([(m,) for m in DESCRIBED], "metric string")
     return metrics.join(spread, "metric", "left").select("metric", "minimum", "q1", "median", "mean", "q3", "maximum", "stddev")
 

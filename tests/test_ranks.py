@@ -25,10 +25,9 @@ def values(n=3000, seed=1):
     return [(g, Decimal(v) / 100, f"k{i:05d}") for i, (g, v) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("accuracy, widths", [(10_000, cuts.WIDTHS), (10, (0.0, 0.05, 1.0)), (1, (1.0,))])
-def test_quantiles_are_exact_whatever_the_bounds(spark, monkeypatch, accuracy, widths):
-    monkeypatch.setattr(cuts, "ACCURACY", accuracy)
-    monkeypatch.setattr(cuts, "WIDTHS", widths)
+@pytest.mark.parametrize("octave", [1, 64, cuts.OCTAVE])
+def test_quantiles_are_exact_whatever_the_buckets(spark, monkeypatch, octave):
+    monkeypatch.setattr(cuts, "OCTAVE", octave)
     rows = values()
     df = spark.createDataFrame(rows, "g string, x decimal(12,2), k string").unionByName(
         spark.createDataFrame([("few", None, "z")], "g string, x decimal(12,2), k string")).repartition(7)
@@ -57,17 +56,18 @@ def test_tiles_of_several_orders_equal_ntile(spark, n):
         assert got == df.select("id", *[c.alias(name) for name, c in whole.items()]).orderBy("id").collect()
 
 
-def test_tiles_write_no_row_and_sort_few(spark):
-    """Of 40,000 nearly unique values fewer than one in twenty is sorted."""
-    df = spark.range(40_000).select(F.col("id").cast("string").alias("id"), F.xxhash64("id").alias("v"))
-    sorted_rows = []
-    real = cuts.number_rows
+def test_tiles_sort_only_rows_of_equal_key(spark):
+    """Of two keys, one unique and one of few values, only the rows tied at a border are sorted, and no other is moved."""
+    df = spark.range(40_000).select(F.col("id").cast("string").alias("id"), (F.xxhash64("id") % 10**9).alias("v"), (F.col("id") % 90).alias("few"))
+    sorted_rows, real = [], cuts.number_rows
     try:
         cuts.number_rows = lambda rows, *a, **b: sorted_rows.append(rows.count()) or real(rows, *a, **b)
-        cuts.Tiles(df.withColumn("v", F.col("v") % 10**9), {"v": F.col("v")}, "id", 5)
+        cuts.Tiles(df, {"v": F.col("v")}, "id", 5)
+        assert not sorted_rows
+        cuts.Tiles(df.filter("id < 39999"), {"v": F.col("v"), "few": F.col("few")}, "id", 5)
     finally:
         cuts.number_rows = real
-    assert 0 < sum(sorted_rows) < 2000
+    assert 0 < sum(sorted_rows) <= 4 * 445
 
 
 @pytest.mark.parametrize("partitions", ["1", "23"])
