@@ -123,10 +123,14 @@ def _cohort_cells(activity: DataFrame) -> DataFrame:
 
 def cohort_retention(sales: DataFrame) -> DataFrame:
     """Per first-purchase month and months since: customers back that month; empty cells absent."""
+    return cohorts_in(customer_activity(sales))
+
+
+def cohorts_in(activity: DataFrame) -> DataFrame:
     cohort = Window.partitionBy("cohort_start")
     size = F.max(F.when(F.col("months_since") == 0, F.col("retained"))).over(cohort)
     return (
-        _cohort_cells(customer_activity(sales))
+        _cohort_cells(activity)
         .withColumn("cohort_size", size)
         .select(
             year_month("cohort_start").alias("cohort"), "months_since", "cohort_size", "retained",
@@ -158,7 +162,10 @@ def retention_curve(sales: DataFrame) -> DataFrame:
     came back. Month 0 holds the cohort's size and unfolds it over that span,
     so one pass over the cells adds both sums.
     """
-    activity = stored_activity(sales)
+    return curve_in(stored_activity(sales))
+
+
+def curve_in(activity: DataFrame) -> DataFrame:
     last = activity.agg(F.max("month_start").alias("m")).scalar()
     start = F.col("months_since") == 0
     span = F.sequence(F.lit(0), months_apart(last, F.col("cohort_start")))

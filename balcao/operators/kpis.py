@@ -143,8 +143,12 @@ def new_customers(sales: DataFrame) -> DataFrame:
 
 def retained_customers(sales: DataFrame) -> DataFrame:
     """Per month, customers whose previous active month is the month before."""
+    return retained_in(customer_activity(sales))
+
+
+def retained_in(activity: DataFrame) -> DataFrame:
     return (
-        customer_activity(sales)
+        activity
         .groupBy("month_start")
         .agg(F.count_if(F.col("previous_month") == F.add_months("month_start", -1)).alias("retained"))
         .select(year_month("month_start").alias("year_month"), "retained")
@@ -157,7 +161,10 @@ def active_status(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     A customer month holds until the next one, so the months between are
     unfolded in place: no join of customers with the calendar.
     """
-    activity = stored_activity(sales)
+    return status_in(stored_activity(sales), days)
+
+
+def status_in(activity: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     last = activity.agg(F.max("month_start").alias("hi")).scalar()
     until = F.coalesce(F.add_months("next_month", -1), last)
     return (
@@ -173,7 +180,10 @@ def active_status(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
 
 def churn_monthly(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     """Active at the end of the previous month, and those of them no longer active."""
-    activity = stored_activity(sales)
+    return churn_in(stored_activity(sales), days)
+
+
+def churn_in(activity: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     flow = _monthly_flow(activity, days)
     bounds = activity.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))
     later = _spine(bounds.filter("lo < hi").withColumn("lo", F.add_months("lo", 1)))
@@ -192,15 +202,22 @@ def kpi_monthly(sales: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
     the previous row but counts those who bought in the month right before.
     The window over months is bounded by the calendar.
     """
-    flow = _monthly_flow(customer_activity(sales), days).filter("active_customers > 0")
-    orders = (
+    months = (
         completed(sales)
         .groupBy(month_of("sale_date").alias("month_start"))
         .agg(F.count_distinct("order_id").alias("orders"))
     )
+    return kpi_rows(customer_activity(sales), months, days)
+
+
+def kpi_rows(activity: DataFrame, months: DataFrame, days: int = vocab.CHURN_DAYS) -> DataFrame:
+    """The KPIs from customer months and from ``months``: month_start, orders, and revenue unless the activity has it."""
+    flow = _monthly_flow(activity, days).filter("active_customers > 0")
+    if "revenue" in months.columns:
+        flow = flow.drop("revenue")
     in_time = Window.orderBy("month_start")
     before = F.lag("active_customers").over(in_time)
-    return flow.join(orders, "month_start").select(
+    return flow.join(months, "month_start").select(
         year_month("month_start").alias("year_month"),
         "revenue",
         "orders",

@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from balcao import vocab
 from balcao.functions import dates, money
 from balcao.functions import text as tx
-from balcao.operators import customers, forecast, kpis, products, quality, selection, star, stats
+from balcao.operators import customers, forecast, kpis, products, quality, selection, star, state, stats
 from balcao.plans import load
-from balcao.plans.registry import filter_contract, filtered_view, read_view
+from balcao.plans.registry import filter_contract, filtered_view, read_view, stored_view
 from balcao.session import scratch_path, written
 from balcao.sources.driver_tables import dirty_feed, load_sales
 from balcao.sources.raw import read_raw_sales, staging_columns
@@ -54,9 +54,24 @@ def sales_query(name: str, build: Callable[[DataFrame], DataFrame], *columns: st
     _register(name, build, lambda spark, sf_dir: load_sales(spark, sf_dir, *columns))
 
 
+def house_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
+    """A query over a warehouse of the sales, with its fact by month and its monthly state."""
+    _register(name, build, lambda spark, sf_dir: sales_house(spark, sf_dir, load.store_sales))
+
+
 def stored_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
-    """A query over the sales of a stored warehouse, whose fact lies by month."""
-    _register(name, build, lambda spark, sf_dir: load.sales_of(sales_house(spark, sf_dir, load.store_sales)))
+    """A query over the sales of that warehouse."""
+    house_query(name, lambda house: build(load.sales_of(house)))
+
+
+def cube_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    """A query over its cube."""
+    house_query(name, lambda house: build(house.read("sales_cube")))
+
+
+def history_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    """A query over its customers' months."""
+    house_query(name, lambda house: build(state.activity(house.read("customer_history"))))
 
 
 def feed_query(name: str, build: Callable[[DataFrame], DataFrame], clashing_ids: bool = False) -> None:
@@ -87,10 +102,13 @@ def selected(name: str, sales: DataFrame) -> DataFrame:
     return filtered_view(name, sales, chosen(sales))
 
 
-def finished_cube(sales: DataFrame) -> DataFrame:
+def selected_cube(house: Warehouse) -> DataFrame:
+    return stored_view(house, "revenue_cube", chosen(load.sales_of(house)))
+
+
+def finished_cube(house: Warehouse) -> DataFrame:
     """The cube under the default selection: everything, completed sales."""
-    default = selection.Selection(None, None, statuses=tuple(vocab.COMPLETED))
-    return filtered_view("revenue_cube", sales, default)
+    return stored_view(house, "revenue_cube", selection.Selection(None, None, statuses=tuple(vocab.COMPLETED)))
 
 
 # ---- sources and cleaning ---------------------------------------------------
@@ -335,16 +353,43 @@ sales_query("default_selection", selection.default_period, "sale_date", "status"
 sales_query("preset_periods", selection.preset_periods, "sale_date")
 sales_query("filter_contract", lambda s: filter_contract(s, chosen(s)), *dict.fromkeys((*CUBE_COLUMNS, *CUSTOMER_COLUMNS)))
 stored_query("selected_sales", lambda s: selected("sales", s))
-stored_query("selected_cube", lambda s: selected("revenue_cube", s))
+house_query("selected_cube", selected_cube)
 stored_query("selected_kpis", lambda s: selected("kpi_monthly", s))
 sales_query("kpi_vs_previous", lambda s: selection.kpi_vs_previous(kpis.kpi_monthly(s), chosen(s)), *CUSTOMER_COLUMNS)
-sales_query("revenue_by_month", lambda s: selection.revenue_by_month(selected("revenue_cube", s)), "sale_date", *CUBE_COLUMNS)
-sales_query("revenue_peak", lambda s: selection.revenue_peak(finished_cube(s)), *CUBE_COLUMNS)
-sales_query("seasonality", lambda s: selection.seasonality(finished_cube(s)), *CUBE_COLUMNS)
-sales_query("season_extremes", lambda s: selection.season_extremes(finished_cube(s)), *CUBE_COLUMNS)
-sales_query("category_ranking", lambda s: selection.category_ranking(finished_cube(s)), *CUBE_COLUMNS)
-sales_query("category_leader", lambda s: selection.category_leader(finished_cube(s)), *CUBE_COLUMNS)
+house_query("revenue_by_month", lambda h: selection.revenue_by_month(selected_cube(h)))
+house_query("revenue_peak", lambda h: selection.revenue_peak(finished_cube(h)))
+house_query("seasonality", lambda h: selection.seasonality(finished_cube(h)))
+house_query("season_extremes", lambda h: selection.season_extremes(finished_cube(h)))
+house_query("category_ranking", lambda h: selection.category_ranking(finished_cube(h)))
+house_query("category_leader", lambda h: selection.category_leader(finished_cube(h)))
 sales_query("product_headline", lambda s: selection.product_headline(
     selected("sales", s), products.pareto(s)), "state", *PRODUCT_COLUMNS)
-sales_query("category_mom_view", lambda s: selected("category_mom", s), "category", "year_month", *MONEY_COLUMNS)
+house_query("category_mom_view", lambda h: stored_view(h, "category_mom", chosen(load.sales_of(h))))
 sales_query("product_highlights", lambda s: products.product_highlights(products.product_metrics(s)), *PRODUCT_COLUMNS)
+
+# ---- the stored monthly state -----------------------------------------------
+
+
+def _state(house: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return house.read("sales_cube"), house.read("order_months"), house.read("customer_history")
+
+
+def _orders_by_place(house: Warehouse) -> DataFrame:
+    return state.monthly_orders(*_state(house)[:2], *SERIES_KEYS).drop("month_start")
+
+
+cube_query("stored_cube", kpis.revenue_cube)
+cube_query("stored_category_mom", products.category_mom)
+house_query("stored_monthly_base", lambda h: state.monthly_base(*_state(h)).drop("month_start"))
+house_query("stored_status_summary", lambda h: state.status_summary(*_state(h)[:2]))
+house_query("stored_series_by_place", _orders_by_place)
+house_query("stored_kpi_monthly", lambda h: state.kpi_monthly(*_state(h)))
+house_query("stored_new_customers", lambda h: state.active_customers(h.read("customer_history")).filter("new_customers > 0").select(
+    dates.year_month("month_start").alias("year_month"), "new_customers"))
+house_query("stored_retained_customers", lambda h: state.active_customers(h.read("customer_history")).select(
+    dates.year_month("month_start").alias("year_month"), "retained"))
+history_query("stored_active_90d", kpis.status_in)
+history_query("stored_churn_monthly", kpis.churn_in)
+history_query("stored_cohort_retention", customers.cohorts_in)
+history_query("stored_cohort_matrix", lambda a: customers.cohort_rows(customers.cohorts_in(a)))
+history_query("stored_retention_curve", customers.curve_in)

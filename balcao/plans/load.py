@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.operators import forecast, quality, star
+from balcao.operators import forecast, quality, star, state
 from balcao.session import written
 from balcao.sources.raw import read_raw_sales, stage
-from balcao.sources.warehouse import Warehouse, quarantine_records
+from balcao.sources.warehouse import STATE, Warehouse, quarantine_records
 
 
 def star_from(accepted: DataFrame) -> dict[str, DataFrame]:
@@ -65,10 +65,35 @@ def run_load(
     )
     stored["fact_sales"] = house.store_fact(star.add_sale_key(fact) if sale_keys else fact.drop("ordinal"), version)
     counts = summary(stored, accepted)
-    house.publish(version, list(stored))
+    store_state(house, enriched(stored), version)
+    house.publish(version, [*stored, *STATE])
     return counts
 
 
+def state_of(sales: DataFrame, numbers: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "sales_cube": state.sales_cube(sales), "order_months": state.order_months(sales, numbers),
+        "customer_history": state.customer_history(sales),
+    }
+
+
+def store_state(house: Warehouse, sales: DataFrame, version: str) -> None:
+    """Write the monthly state of all ``sales``, unpublished."""
+    numbers = house.store("dim_order", state.order_numbers(sales), version)
+    for name, df in state_of(sales, numbers).items():
+        house.store(name, df, version)
+
+
+def extend_state(house: Warehouse, sales: DataFrame) -> None:
+    """Publish the monthly state with further ``sales`` merged in; items that are in it are not read again."""
+    version = house.new_version()
+    numbers = house.store("dim_order", state.order_numbers(sales, house.read("dim_order")), version)
+    merge = {"sales_cube": state.merge_cubes, "order_months": state.merge_orders, "customer_history": state.merge_histories}
+    for name, df in state_of(sales, numbers).items():
+        house.store(name, merge[name](house.read(name), df), version)
+    house.publish(version, STATE)
+
+
 def summary(stored: dict[str, DataFrame], accepted: DataFrame) -> dict[str, int]:
     """Row counts of the written tables, which come from file footers.
 
@@ -91,8 +116,9 @@ def store_sales(house: Warehouse, sales: DataFrame) -> None:
     dims = ("dim_customer", "dim_product", "dim_location")
     tables = star_from(sales)
     stored = {name: house.store(name, tables[name], version) for name in ("dim_calendar", *dims)}
-    house.store_fact(star.load_fact(sales, *(stored[d] for d in dims)), version)
-    house.publish(version, [*stored, "fact_sales"])
+    stored["fact_sales"] = house.store_fact(star.load_fact(sales, *(stored[d] for d in dims)), version)
+    store_state(house, enriched(stored), version)
+    house.publish(version, [*stored, *STATE])
 
 
 def sales_of(house: Warehouse) -> DataFrame:

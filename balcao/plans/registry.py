@@ -14,24 +14,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balcao.operators import customers, forecast, kpis, products
+from balcao.plans import load
 from balcao.operators.selection import (
     ALL_AXES, CATEGORY, MONTH, PERIOD, Selection, apply_selection, axis_test, in_months,
 )
+from balcao.sources.warehouse import Warehouse
 
 
 @dataclass(frozen=True)
 class Dataset:
-    """``looks_back``: rows of a month depend on sales of earlier months, as growth and churn do."""
+    """``looks_back``: rows of a month depend on sales of earlier months, as growth and churn do.
+
+    ``additive``: only sums over the cells of the stored cube are asked for, so the
+    cube's rows give the same answer as the items.
+    """
 
     build: Callable[[DataFrame], DataFrame]
     axes: tuple[str, ...] = ()
     looks_back: bool = False
+    additive: bool = False
 
 
 DATASETS: dict[str, Dataset] = {
     "sales": Dataset(lambda sales: sales, ALL_AXES),
-    "revenue_cube": Dataset(kpis.revenue_cube, ALL_AXES),
-    "category_mom": Dataset(products.category_mom, (PERIOD, CATEGORY), looks_back=True),
+    "revenue_cube": Dataset(kpis.revenue_cube, ALL_AXES, additive=True),
+    "category_mom": Dataset(products.category_mom, (PERIOD, CATEGORY), looks_back=True, additive=True),
     "kpi_monthly": Dataset(kpis.kpi_monthly, (PERIOD,), looks_back=True),
     "rfm": Dataset(customers.rfm),
     "cohort_retention": Dataset(customers.cohort_retention),
@@ -69,6 +76,16 @@ def filtered_view(
     return apply_selection(DATASETS[name].build(sales), chosen, wanted).drop(MONTH)
 
 
+def source_of(house: Warehouse, name: str) -> DataFrame:
+    """What a dataset is built from in a warehouse: the cube where that can answer, else the enriched sales."""
+    return house.read("sales_cube") if DATASETS[name].additive else load.sales_of(house)
+
+
+def stored_view(house: Warehouse, name: str, chosen: Selection, axes: Iterable[str] | None = None) -> DataFrame:
+    """``filtered_view`` over a warehouse, without reading items where sums suffice."""
+    return filtered_view(name, source_of(house, name), chosen, axes)
+
+
 def filter_contract(sales: DataFrame, chosen: Selection) -> DataFrame:
     """Per dataset and axis: whether it accepts the filter, and how many rows the choice keeps (NULL if refused)."""
     schema = "dataset string, axis string, accepted boolean, n_rows long"

@@ -13,7 +13,10 @@ from balcao import vocab
 TABLES = [
     "staging", "quarantine", "dim_calendar", "dim_customer", "dim_product", "dim_location",
     "fact_sales", "load_report", "monthly_forecast", "model_metrics",
+    "sales_cube", "dim_order", "order_months", "customer_history",
 ]
+#: What is stored of every month besides the items.
+STATE = ["sales_cube", "dim_order", "order_months", "customer_history"]
 _PUBLISHED = "version string, name string"
 
 
