@@ -44,10 +44,11 @@ def run_load(
     The accepted rows are written once and feed all dimensions and the fact.
     Quarantine and report are computed from staging again: the rules are a scan,
     and writing every tagged row would cost more than reading the text again.
-    Nothing is published before the counts balance.
+    Nothing is published before the counts balance, nor if another load was
+    published since this one began.
     """
     house = Warehouse(spark, root)
-    version = house.new_version()
+    version, base = house.new_version(), house.newest()
     staged = house.folder("staging", version)
     stage(read_raw_sales(spark, csv_path, multi_line), staged)
     stored = {"staging": spark.read.parquet(staged)}
@@ -66,7 +67,7 @@ def run_load(
     stored["fact_sales"] = house.store_fact(star.add_sale_key(fact) if sale_keys else fact.drop("ordinal"), version)
     counts = summary(stored, accepted)
     store_state(house, enriched(stored), version)
-    house.publish(version, [*stored, *STATE])
+    house.publish(version, [*stored, *STATE], base)
     return counts
 
 
@@ -86,12 +87,12 @@ def store_state(house: Warehouse, sales: DataFrame, version: str) -> None:
 
 def extend_state(house: Warehouse, sales: DataFrame) -> None:
     """Publish the monthly state with further ``sales`` merged in; items that are in it are not read again."""
-    version = house.new_version()
-    numbers = house.store("dim_order", state.order_numbers(sales, house.read("dim_order")), version)
+    version, before = house.new_version(), house.snapshot()
+    numbers = house.store("dim_order", state.order_numbers(sales, before.read("dim_order")), version)
     merge = {"sales_cube": state.merge_cubes, "order_months": state.merge_orders, "customer_history": state.merge_histories}
     for name, df in state_of(sales, numbers).items():
-        house.store(name, merge[name](house.read(name), df), version)
-    house.publish(version, STATE)
+        house.store(name, merge[name](before.read(name), df), version)
+    house.publish(version, STATE, before.at)
 
 
 def summary(stored: dict[str, DataFrame], accepted: DataFrame) -> dict[str, int]:
@@ -111,14 +112,14 @@ def summary(stored: dict[str, DataFrame], accepted: DataFrame) -> dict[str, int]
 
 def store_sales(house: Warehouse, sales: DataFrame) -> None:
     """Replace the star tables by clean sales, as a load does with accepted rows."""
-    version = house.new_version()
+    version, base = house.new_version(), house.newest()
     sales = written(sales, "sales")
     dims = ("dim_customer", "dim_product", "dim_location")
     tables = star_from(sales)
     stored = {name: house.store(name, tables[name], version) for name in ("dim_calendar", *dims)}
     stored["fact_sales"] = house.store_fact(star.load_fact(sales, *(stored[d] for d in dims)), version)
     store_state(house, enriched(stored), version)
-    house.publish(version, [*stored, *STATE])
+    house.publish(version, [*stored, *STATE], base)
 
 
 def sales_of(house: Warehouse) -> DataFrame:
@@ -128,6 +129,7 @@ def sales_of(house: Warehouse) -> DataFrame:
     ``in_months`` prune the month folders.
     """
     names = ("dim_calendar", "dim_customer", "dim_product", "dim_location", "fact_sales")
+    house = house if house.at is not None else house.snapshot()  # tables of one load, whatever is published meanwhile
     return enriched({name: house.read(name) for name in names})
 
 
