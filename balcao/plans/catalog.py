@@ -141,7 +141,10 @@ def _csv_with_broken_lines(spark: SparkSession, sf_dir: str) -> str:
     feed = dirty_feed(spark, sf_dir)
     fault = (F.col("ordinal.l_orderkey") * 13 + F.col("ordinal.l_linenumber") * 5 + F.col("ordinal.cents")) % 61
     texts = {c: F.coalesce(F.col(c), F.lit("")) for c in vocab.STAGING_COLUMNS}
-    texts["product"] = F.when(fault == 0, F.concat(texts["product"], F.lit("\nnova linha"))).otherwise(texts["product"])
+    texts["product"] = (
+        F.when(fault == 0, F.concat(texts["product"], F.lit("\nnova linha")))
+        .when(fault == 3, F.concat(texts["product"], F.lit("\n1,2,3,4,5,6,7,8,9,10,11\nfim"))).otherwise(texts["product"])
+    )
     quoted = [F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"')) for t in texts.values()]
     record = F.when(fault == 1, F.concat_ws(",", *quoted[:-1])).when(
         fault == 2, F.concat_ws(",", *quoted, F.lit('"x"'))).otherwise(F.concat_ws(",", *quoted))
