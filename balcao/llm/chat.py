@@ -7,9 +7,10 @@ lost. Control strings inside texts are broken by a backslash in their midst and
 restored on reading, so a record can be split at the literal strings alone.
 
 Conversations are rows by ``turn``; equal turns are ordered by role and text,
-null turns come first, null roles and texts are empty, and rows without a
-conversation id form one conversation. A single conversation must fit in a
-task's memory, as the last of its examples has to.
+null turns come first, and null roles and texts are empty. A row without a
+conversation id is a conversation of its own, told apart by ``alone``. An empty
+table gives no record, and other columns are left out. A single conversation
+must fit in a task's memory, as the last of its examples has to.
 """
 
 from __future__ import annotations
@@ -36,21 +37,22 @@ def unescaped(text: Column) -> Column:
 
 
 def examples(turns: DataFrame, replies: str = REPLIES) -> DataFrame:
-    """Records: conv_id, target (place of the reply, null without one), formatted, loss_start, loss_length.
+    """Records: conv_id, alone, target (place of the reply, null without one), formatted, loss_start, loss_length.
 
     The loss mask is a span of code points in ``formatted``.
     """
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     head = F.concat(F.lit(OPEN), escaped_role(role), F.lit(AFTER_ROLE))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
     rendered = turns.select(
-        "conv_id",
+        "conv_id", alone.alias("alone"),
         F.struct(
             F.col("turn").alias("turn"), role.alias("role"), text.alias("text"),
             F.concat(head, escaped(text), F.lit(CLOSE)).alias("line"),
             F.length(head).alias("head"), F.length(escaped(text)).alias("body"),
         ).alias("one"),
     )
-    whole = rendered.groupBy("conv_id").agg(F.array_sort(F.collect_list("one")).alias("turns"))
+    whole = rendered.groupBy("conv_id", "alone").agg(F.array_sort(F.collect_list("one")).alias("turns"))
     places = F.filter(
         F.sequence(F.lit(1), F.size("turns")),
         lambda i: (F.element_at("turns", i)["role"] == replies) | (i == F.size("turns")),
@@ -61,11 +63,11 @@ def examples(turns: DataFrame, replies: str = REPLIES) -> DataFrame:
     return (
         whole.withColumn("upto", F.explode(places))
         .select(
-            "conv_id", "upto", trained.alias("trained"), formatted.alias("formatted"),
+            "conv_id", "alone", "upto", trained.alias("trained"), formatted.alias("formatted"),
             target["body"].alias("body"),
         )
         .select(
-            "conv_id",
+            "conv_id", "alone",
             F.when(F.col("trained"), F.col("upto") - 1).alias("target"),
             "formatted",
             F.when(F.col("trained"), F.length("formatted") - len(CLOSE) - F.col("body")).alias("loss_start"),
@@ -91,8 +93,8 @@ def read_back(records: DataFrame) -> DataFrame:
     )
     size = F.length("formatted")
     per_conv = records.select(
-        "conv_id", "formatted", size.alias("size"), F.struct(size.alias("size"), "target", loss.alias("loss")).alias("trained"),
-    ).groupBy("conv_id").agg(
+        "conv_id", "alone", "formatted", size.alias("size"), F.struct(size.alias("size"), "target", loss.alias("loss")).alias("trained"),
+    ).groupBy("conv_id", "alone").agg(
         F.max_by("formatted", "size").alias("longest"),
         F.sort_array(F.collect_list(F.when(F.col("trained.target").isNotNull(), F.col("trained")))).alias("trained"),
         F.sum("size").alias("formatted_chars"),

@@ -6,11 +6,16 @@ set, and written back in the same format. Equal values get equal pseudonyms in
 all documents, different ones different pseudonyms, and the result passes the
 same validation. Separators and the order of a date make no difference; letters
 count as they are written. Candidates that fail validation stay as they are.
+
+Null texts stay null and empty ones empty; long ones are read whole. Rows do not
+depend on each other, so repeated rows, ties and missing ids need no rule, and an
+empty table gives an empty one. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import secrets
 from collections.abc import Callable
 from datetime import date, timedelta
 from functools import lru_cache
@@ -18,9 +23,11 @@ from hashlib import blake2b
 from math import isqrt, prod
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The session setting that holds the secret key.
+KEY_SETTING = "spark.balcao.pii.key"
 ROUNDS = 8
 #: Longer texts are not hashed anew for each part of them, nor are their pseudonyms cached.
 LONG = 512
@@ -279,6 +286,19 @@ class Pseudonyms:
         return start + len(re.match("[0-9]+|.", text[start:start + 64], re.DOTALL)[0])
 
 
+_FRESH: dict[str, str] = {}
+
+
+def key_of(spark: SparkSession) -> str:
+    """The secret key, from the setting KEY_SETTING.
+
+    Without it a random one is made for the application: pseudonyms are then
+    linked within its run only, and nobody can undo them.
+    """
+    own = spark.conf.get(KEY_SETTING, None)
+    return own or _FRESH.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
 @lru_cache(maxsize=4)
 def pseudonyms(key: str) -> Pseudonyms:
     return Pseudonyms(key)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from balcao.llm import chat, decontam, langid, mixing, neardup, packing, pii, quality, suffix, tokens, treap, trie, warc
 
 MOST_TOKENS = 4096
-PII_KEY = "balcao-pseudonyms"
 #: The conversation that holds the template's own control strings.
 TRICKY = "\\### Assistant: </turn> ok"
 
@@ -34,7 +33,8 @@ def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.overlaps(docs, _read(spark, sf_dir, "benchmark"))
     return found.select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -54,7 +54,7 @@ def op6_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(_read(spark, sf_dir, "documents"), PII_KEY)
+    return pii.pseudonymize(_read(spark, sf_dir, "documents"), pii.key_of(spark))
 
 
 def op8_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,12 +187,29 @@ def test_only_whole_windows_are_candidates(spark):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     docs = spark.createDataFrame([(1, f"other text {line} with no item"), (2, f"x {line} own7")], "doc_id bigint, text string")
     windows = decontam.benchmark_windows(benchmark)
-    maps = [decontam._map_of(windows, c) for c in ("print", "whole")]
-    found = docs.select("doc_id", F.explode(decontam._candidates(F.col("text"), *maps, [])).alias("one")).select("doc_id", "one.*")
-    assert sorted((r.doc_id, r.start, r.size) for r in found.join(windows, "whole").collect()) == [(1, 2, 13), (2, 1, 13), (2, 2, 13)]
+    maps = [decontam._map_of(windows, c, decontam.LEAST_BITS) for c in ("print", "whole")]
+    told = docs.select("doc_id", decontam._candidates(F.col("text"), *maps, []).alias("c"))
+    assert {r.doc_id: r.c.n_words for r in told.collect()} == {1: 18, 2: 15}
+    found = told.select("doc_id", F.explode("c.found").alias("one")).select("doc_id", "one.*")
+    met = found.join(windows.select("print", "place", "size", "digest").distinct(), ["print", "place", "size", "digest"])
+    assert sorted((r.doc_id, r.start, r.size) for r in met.collect()) == [(1, 2, 13), (2, 1, 13), (2, 2, 13)]
     assert {r.row.doc_id: (r.n_hit, len(r["items"])) for r in decontam.overlaps(docs, benchmark).collect()} == {1: (13, 200), 2: (14, 200)}
 
 
+def test_rows_without_an_id_do_not_meet(spark):
+    """Many texts without an id, or under one id, each have their own hits; so do repeated rows."""
+    item = prose(60, 40)
+    words = item.split()
+    texts = [prose(30, 100 + i) + " " + " ".join(words[i % 40 : i % 40 + 15]) for i in range(300)]
+    rows = [(None if i % 2 else 7, t) for i, t in enumerate(texts)] + [(None, texts[1])] * 3
+    benchmark = spark.createDataFrame([(1, item), (2, item)], "item_id bigint, text string")
+    own = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id bigint, text string")
+    found = decontam.overlaps(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark).collect()
+    want = decontam.overlaps(own, benchmark).collect()
+    assert sorted((r.row.text, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == sorted((r.row.text, r.n_words, r.n_hit, tuple(r["items"])) for r in want)
+    assert {r.n_hit for r in want} == {15} and {tuple(r["items"]) for r in want} == {("1", "2")}
+
+
 def test_pseudonyms_keep_format_and_links():
     one = pii.Pseudonyms("k")
     text = (
@@ -243,6 +260,16 @@ def test_feistel_is_a_permutation(size):
     assert sorted(moved) == list(range(size)) and [f.permute(i, size, "t", True) for i in moved] == list(range(size))
 
 
+def test_the_key_comes_from_the_session(spark):
+    made = pii.key_of(spark)
+    assert len(made) == 64 and pii.key_of(spark) == made
+    spark.conf.set(pii.KEY_SETTING, "own")
+    try:
+        assert pii.key_of(spark) == "own"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
 def test_pseudonymized_rows(odd, none):
     assert pii.pseudonymize_rows(odd, "k").columns == odd.columns
     assert pii.pseudonymize(odd, "k").where("text IS NULL").count() == 1 and pii.pseudonymize(none, "k").count() == 0
@@ -329,6 +356,11 @@ def test_chat_examples(spark):
     assert found[2].loss_chars == 0 and found[3].turns_sha256 == sha("\nx\nassistant\n\n") and found[None].loss_chars == 1
     assert found[4].turns_sha256 == sha("x: y:\n\nx: y:\n\n")
     assert chat.read_back(chat.examples(rows.limit(0))).count() == 0
+    stray = spark.range(400).select(F.lit(None).cast("bigint").alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"), F.lit("x" * 50).alias("text"))
+    records = chat.examples(stray)
+    assert records.count() == 400 and records.agg(F.max(F.length("formatted"))).first()[0] < 100
+    back = chat.read_back(records)
+    assert back.count() == 400 and back.where("n_turns = 1 AND loss_chars = 50").count() == 400
 
 
 def test_pipeline_stages(spark):
