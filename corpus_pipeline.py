@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from balcao.llm import decontam, langid, mixing, neardup, pii
 from balcao.session import written
 
-PII_KEY = "balcao-pseudonyms"
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language stay."""
@@ -33,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets get pseudonyms."""
-    return pii.pseudonymize_rows(docs, PII_KEY)
+    return pii.pseudonymize_rows(docs, pii.key_of(spark))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
