@@ -14,6 +14,8 @@ the blocks need if these are fewer, are computed in one row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,8 +30,8 @@ BLOCK_ROWS = 32
 RUN_SLOTS = 128
 #: Slots placed between two copies of the schedule so far, and blocks of a source that a row of it holds.
 STEP = 256
-#: Hex digits of the shuffled order that a bucket of rows shares: 4096 buckets of each source.
-_BUCKET_DIGITS = 3
+#: Rows of a bucket of the shuffled order, about, if all were of one source.
+BUCKET_ROWS = 4096
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -163,13 +165,17 @@ def mix(docs: DataFrame, weights: DataFrame, key: str = "doc_id", source: str =
 
     A source is numbered in buckets of its shuffled order, so no task has a whole
     source: the counts of the buckets before give the number its bucket begins at.
+    There are more buckets as there are more rows. Only rows of one key share a
+    digest, and those stay in one bucket. Texts play no part; an empty table gives
+    no row.
     """
+    digits = max(1, math.ceil(math.log(max(1, docs.count() / BUCKET_ROWS), 16)))
     rows = docs.select(
         F.col(source).alias("source"),
         F.col(key).alias("key"),
         F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("digest"),
         F.struct("*").alias("row"),
-    ).withColumn("bucket", F.substring("digest", 1, _BUCKET_DIGITS))
+    ).withColumn("bucket", F.substring("digest", 1, digits))
     counts = rows.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = written(

@@ -191,25 +191,24 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 _MIXING = """
 WITH RECURSIVE sizes AS (
   SELECT source, floor(sqrt(count(*)::DOUBLE) * 1000)::BIGINT AS weight FROM documents GROUP BY source
-), parts AS (
-  SELECT source, weight * 1000 // (SELECT sum(weight) FROM sizes) AS least, weight * 1000 % (SELECT sum(weight) FROM sizes) AS rest
-  FROM sizes WHERE weight > 0
-), shares AS (
-  SELECT source, greatest(1, least + CASE WHEN row_number() OVER (ORDER BY rest DESC, source NULLS FIRST)
-    <= 1000 - (SELECT sum(least) FROM parts) THEN 1 ELSE 0 END)::BIGINT AS slots FROM parts
 ), numbered AS (
-  SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) AS which FROM shares
+  SELECT source, weight, row_number() OVER (ORDER BY source NULLS FIRST) AS which,
+         (count(*) + 31) // 32 AS blocks FROM documents JOIN sizes USING (source) WHERE weight > 0 GROUP BY source, weight
+  UNION ALL BY NAME
+  SELECT NULL AS source, any_value(s.weight) AS weight, 0 AS which, (count(*) + 31) // 32 AS blocks
+  FROM documents d JOIN sizes s ON s.source IS NULL WHERE d.source IS NULL AND s.weight > 0 HAVING count(*) > 0
 ), p AS (
-  SELECT sum(slots)::BIGINT AS period, list(slots ORDER BY which) AS slots FROM numbered
+  SELECT sum(weight)::BIGINT AS total, list(weight ORDER BY which) AS weights,
+         max((blocks * (SELECT sum(weight) FROM numbered) + weight - 1) // weight)::BIGINT AS slots FROM numbered
 ), run(t, done, chosen) AS (
-  SELECT 0::BIGINT, list_transform(slots, lambda x: 0::BIGINT), 0::BIGINT FROM p
+  SELECT 0::BIGINT, list_transform(weights, lambda x: 0::BIGINT), 0::BIGINT FROM p
   UNION ALL
-  SELECT t + 1, list_transform(range(1, len(slots) + 1), lambda k: done[k] + CASE WHEN k = pick THEN 1 ELSE 0 END), pick
+  SELECT t + 1, list_transform(range(1, len(weights) + 1), lambda k: done[k] + CASE WHEN k = pick THEN 1 ELSE 0 END), pick
   FROM (
-    SELECT t, done, slots, list_min(list_transform(range(1, len(slots) + 1), lambda k:
-      CASE WHEN done[k] * period // slots[k] <= t THEN (((done[k] + 1) * period + slots[k] - 1) // slots[k]) * 1000000 + k END
+    SELECT t, done, weights, list_min(list_transform(range(1, len(weights) + 1), lambda k:
+      CASE WHEN done[k] * total // weights[k] <= t THEN (((done[k] + 1) * total + weights[k] - 1) // weights[k]) * 1000000 + k END
     )) % 1000000 AS pick
-    FROM run, p WHERE t < period
+    FROM run, p WHERE t < slots
   )
 ), placed AS (
   SELECT chosen AS which, t - 1 AS slot, row_number() OVER (PARTITION BY chosen ORDER BY t) - 1 AS nth FROM run WHERE t > 0
@@ -217,10 +216,9 @@ WITH RECURSIVE sizes AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS number
   FROM documents
 )
-SELECT doc_id, rows.source, number // 32 AS block,
-       (number // 32) // slots * (SELECT period FROM p) + slot AS slot, (number % 32)::BIGINT AS place
-FROM rows JOIN numbered ON rows.source IS NOT DISTINCT FROM numbered.source
-JOIN placed ON placed.which = numbered.which AND placed.nth = (number // 32) % slots
+SELECT doc_id, rows.source, number // 32 AS block, slot, (number % 32)::BIGINT AS place
+FROM rows JOIN (SELECT *, row_number() OVER (ORDER BY which) AS nr FROM numbered) n ON rows.source IS NOT DISTINCT FROM n.source
+JOIN placed ON placed.which = n.nr AND placed.nth = number // 32
 """
 
 _CHAT = r"""
