@@ -22,8 +22,9 @@ from pyspark.sql.window import Window
 UNKNOWN = "und"
 #: n-grams in a profile, of languages and of documents.
 PROFILE = 300
-#: Profiles go to the driver and to every task: languages times PROFILE entries.
-MOST_LANGUAGES = 2000
+#: Profiles go to the driver and to every task: at most so many languages times PROFILE entries of 14 bytes. More is an
+#: error, as such a column holds no languages.
+MOST_LANGUAGES = 20_000
 #: The lowest score of an accepted document.
 MIN_SCORE = 0.3
 _BITS = np.uint64(21)
@@ -129,10 +130,12 @@ def _runs(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Languages with their ranks: one row of ``ranks`` per language, one column per n-gram."""
+    """Languages with their ranks: sorted n-grams, and from ``starts`` on the languages that list each and at what rank."""
 
     languages: tuple[str, ...]
     grams: np.ndarray
+    starts: np.ndarray
+    which: np.ndarray
     ranks: np.ndarray
 
     def nearest(self, text: str | None) -> tuple[str, float]:
@@ -141,10 +144,14 @@ class Profiles:
         if not len(own) or not self.languages:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
-        ranks = np.where(self.grams[at] == own, self.ranks[:, at], -1)
-        off = np.where(ranks >= 0, np.abs(ranks - np.arange(len(own))), PROFILE).sum(axis=1)
-        best = int(np.argmin(off))
-        return self.languages[best], float(1 - off[best] / (PROFILE * len(own)))
+        places = np.flatnonzero(self.grams[at] == own)
+        begin, n = self.starts[at[places]], np.diff(self.starts)[at[places]]
+        listed = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        # What a listed n-gram is nearer than one that is not.
+        nearer = PROFILE - np.abs(self.ranks[listed].astype(np.int64) - np.repeat(places, n))
+        saved = np.bincount(self.which[listed], weights=nearer, minlength=len(self.languages))
+        best = int(np.argmax(saved))
+        return self.languages[best], float(saved[best] / (PROFILE * len(own)))
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
@@ -160,12 +167,12 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     languages = tuple(sorted({r.lang for r in rows}))
     if len(rows) > MOST_LANGUAGES * PROFILE:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    grams = np.unique(np.array([r.gram for r in rows], np.int64).view(np.uint64))
-    ranks = np.full((len(languages), max(1, len(grams))), -1, np.int32)
-    row = {name: i for i, name in enumerate(languages)}
-    for r in rows:
-        ranks[row[r.lang], np.searchsorted(grams, np.uint64(r.gram))] = r.rank - 1
-    return Profiles(languages, grams, ranks)
+    number = {name: i for i, name in enumerate(languages)}
+    listed = np.array([r.gram for r in rows], np.int64).view(np.uint64)
+    which, ranks = np.array([number[r.lang] for r in rows], np.int32), np.array([r["rank"] - 1 for r in rows], np.int16)
+    order = np.lexsort((which, listed))
+    grams, starts = np.unique(listed[order], return_index=True)
+    return Profiles(languages, grams, np.append(starts, len(listed)), which[order], ranks[order])
 
 
 def detect(text: Column, profiles: Profiles) -> Column:

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -68,6 +69,13 @@ def test_language_is_right_on_held_out_documents(spark):
     assert right > 0.98
 
 
+def test_languages_equal_brute_force(spark, odd):
+    for docs in (spark.read.parquet(f"{SMALL}/documents.parquet"), odd):
+        rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+        found = sorted((str(r.doc_id), r.lang_pred, round(r.score, 9)) for r in langid.identify(docs).collect())
+        assert found == sorted((str(d), p, round(s, 9)) for d, p, s in brute.languages(rows, lambda d: zlib.crc32(str(d).encode()) % 5 == 0))
+
+
 def test_language_of_odd_rows(odd, none):
     found = {(r.doc_id, r.lang_pred) for r in langid.identify(odd).collect()}
     assert {(1, "und"), (2, "und"), (3, "und"), (11, "und"), (4, "en")} <= found
