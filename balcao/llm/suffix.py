@@ -1,22 +1,26 @@
 """Repeated passages by longest previous factors over sparse suffix order.
 
 A byte is removed if a string of ``length`` bytes that covers it also occurs at
-an earlier place (or, on request, at any other). A suffix has such a longest
-previous factor exactly if, among the suffixes that agree with it for ``length``
-bytes, its previous or next smaller position in suffix order exists.
+an earlier place (or, on request, at any other): if the longest previous factor
+at the string's start has ``length`` bytes or more. In suffix order the previous
+and the next suffix of smaller position agree with a suffix on that factor, or on
+less; of the two the longer one is it.
 
 Suffixes are sorted only around anchors: of all grams of GRAM bytes inside a
 string of ``length`` bytes, the one of the smallest hash. Equal strings have equal
 anchors at equal places, so they meet in the group of their anchor's hash. Within
 a group the texts right of the anchors are sorted as suffixes and the texts left
-of them as reversed prefixes, with the lengths on which neighbours agree. For
-each distance to the anchor, two strings are equal if they agree that far to the
-left and for the rest to the right, which those two orders tell; the smallest
-position among equals is the one without a previous factor.
+of them as reversed prefixes, with the lengths on which neighbours agree. These
+two orders give the suffix order at each distance to the anchor, and how far
+neighbours in it agree.
 
 Anchors that occur once are dropped before any text moves. Anchors that occur
 more than HOT times are not sorted in one task: their strings are hashed and
 counted by groupings that pre-aggregate.
+
+Ids are whole numbers, or texts that name one. Null texts are empty, and texts
+below ``length`` bytes lose nothing; a single text must fit in a task. Rows may
+repeat, ids be missing and other columns have any name; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -166,28 +170,78 @@ def _order(group: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, np.concatenate([[-1], agreed])
 
 
-def repeated_starts(group: np.ndarray, around: np.ndarray, near: np.ndarray, far: np.ndarray, rank: np.ndarray, length: int, keep_first: bool) -> np.ndarray:
-    """By row and distance to the anchor: whether the string that starts there has a previous factor of ``length``.
+class _Least:
+    """The least of any range of an array, from the least of all ranges of powers of two."""
+
+    def __init__(self, values: np.ndarray):
+        self.levels = [values]
+        while 2 * (step := 1 << len(self.levels) - 1) <= len(values):
+            below = self.levels[-1]
+            self.levels.append(np.minimum(below[: len(below) - step], below[step:]))
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Of places ``first`` to ``last``, both included."""
+        level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+        out = np.empty(len(first), self.levels[0].dtype)
+        for k in np.unique(level):
+            here = np.flatnonzero(level == k)
+            values = self.levels[k]
+            out[here] = np.minimum(values[first[here]], values[last[here] - (1 << int(k)) + 1])
+        return out
 
-    ``rank`` orders rows by position. Without ``keep_first`` a next factor counts as well.
+
+def _smaller_before(rank: np.ndarray, agreed: np.ndarray, length: int) -> np.ndarray:
+    """By place in suffix order: on how many bytes a suffix agrees with the nearest before it of smaller rank.
+
+    ``agreed`` tells it of the one right before. Every suffix follows the pointers of
+    those it passes, all at once; one that agrees on less than ``length`` stops, as
+    no factor of that length is left.
+    """
+    pointer, common = np.arange(len(rank)) - 1, agreed.copy()
+    going = np.flatnonzero(common >= length)
+    while len(going):
+        going = going[rank[pointer[going]] > rank[going]]
+        at = pointer[going]
+        common[going] = np.minimum(common[going], common[at])
+        pointer[going] = pointer[at]
+        going = going[common[going] >= length]
+    return np.where(common >= length, common, 0)
+
+
+def factors(group: np.ndarray, around: np.ndarray, near: np.ndarray, far: np.ndarray, rank: np.ndarray, length: int, later: bool = False) -> np.ndarray:
+    """By row and distance to the anchor: the longest previous factor of the suffix that starts there; 0 if below ``length``.
+
+    ``rank`` orders rows by position; with ``later`` the longest next factor, of
+    larger positions, counts as well. Suffixes that start ``distance`` before
+    their anchors are in suffix order if those with the same bytes up to the anchor
+    are in the order of what follows it; others agree on less than ``length``, and
+    their order plays no part. The previous and the next of smaller position in
+    that order give the factor. It is cut where the text kept around the anchor ends.
     """
     left = length - GRAM
-    found = np.zeros((len(group), left + 1), bool)
+    found = np.zeros((len(group), left + 1), np.int64)
     by_right, right_agreed = _order(group, around[:, left:])
     by_left, left_agreed = _order(group, around[:, :left][:, ::-1])
-    left_class, right_class = np.empty(len(group), np.int64), np.empty(len(group), np.int64)
+    right_place, left_class = np.empty(len(group), np.int64), np.empty(len(group), np.int64)
+    right_place[by_right] = np.arange(len(group))
+    least = _Least(right_agreed)
     for distance in range(int(near.min(initial=left + 1)), min(left, int(far.max(initial=-1))) + 1):
         left_class[by_left] = np.cumsum(left_agreed < distance)
-        right_class[by_right] = np.cumsum(right_agreed < length - distance)
         rows = np.flatnonzero((near <= distance) & (distance <= far))
-        alike = left_class[rows] * (len(group) + 1) + right_class[rows]
-        order = np.lexsort((rank[rows], alike)) if keep_first else np.argsort(alike)
-        same = alike[order][1:] == alike[order][:-1]
-        again = np.zeros(len(rows), bool)
-        again[order[1:][same]] = True
-        if not keep_first:
-            again[order[:-1][same]] = True
-        found[rows[again], distance] = True
+        rows = rows[np.argsort(left_class[rows] * len(group) + right_place[rows])]
+        same = np.flatnonzero(left_class[rows][1:] == left_class[rows][:-1])
+        agreed = np.zeros(len(rows), np.int64)  # with the row before
+        agreed[same + 1] = distance + least.between(right_place[rows[same]] + 1, right_place[rows[same + 1]])
+        alone = agreed < length
+        alone[:-1] &= agreed[1:] < length
+        rows, agreed = rows[~alone], agreed[~alone]
+        if not len(rows):
+            continue
+        behind = np.append(agreed[1:], 0)[::-1]
+        for own in (rank[rows], -rank[rows])[: 1 + later]:
+            previous = _smaller_before(own, agreed, length)
+            following = _smaller_before(own[::-1], behind, length)[::-1]
+            found[rows, distance] = np.maximum(found[rows, distance], np.maximum(previous, following))
     return found
 
 
@@ -201,7 +255,7 @@ def _sorted_groups(length: int, keep_first: bool):
         at = order[fresh]
         around = np.frombuffer(b"".join(rows.column("around").to_pylist()), np.uint8).reshape(len(order), -1)[at]
         near, far = (rows.column(c).to_numpy()[at] for c in ("near", "far"))
-        found = repeated_starts(anchor[at], around, near, far, np.arange(len(at)), length, keep_first)
+        found = factors(anchor[at], around, near, far, np.arange(len(at)), length, later=not keep_first) >= length
         edge = np.diff(found.astype(np.int8), axis=1, prepend=0, append=0)
         row, low = np.nonzero(edge == 1)
         high = np.nonzero(edge == -1)[1] - 1

@@ -205,6 +205,29 @@ def test_repeats_keep_the_first_copy(odd, none):
     assert (found[15][0][1] > 0) and suffix.remove_repeats(none).count() == 0
 
 
+def test_factors_equal_a_plain_array(monkeypatch):
+    """Longest previous factors around one anchor, among all suffixes at the same distance to it."""
+    monkeypatch.setattr(suffix, "GRAM", 4)
+    length, left = 8, 4
+    rnd = random.Random(7)
+    for _ in range(40):
+        n = rnd.randrange(2, 40)
+        rows = [bytes(rnd.choice(b"ab") for _ in range(left)) + b"ANCH" + bytes(rnd.choice(b"ab") for _ in range(length - 4)) for _ in range(n)]
+        around = np.frombuffer(b"".join(rows), np.uint8).reshape(n, -1)
+        near, far = np.array([rnd.randrange(3) for _ in rows]), np.array([rnd.randrange(2, left + 1) for _ in rows])
+        rank = np.array(rnd.sample(range(n), n))
+        found = suffix.factors(np.zeros(n, np.int64), around, near, far, rank, length)
+        for i in range(n):
+            for d in range(left + 1):
+                want = 0
+                if near[i] <= d <= far[i]:
+                    for j in range(n):
+                        if rank[j] < rank[i] and near[j] <= d <= far[j]:
+                            a, b = rows[i][left - d :], rows[j][left - d :]
+                            want = max(want, next((k for k in range(len(a)) if a[k] != b[k]), len(a)))
+                assert found[i, d] == (want if want >= length else 0)
+
+
 def test_anchors_do_not_depend_on_pieces(monkeypatch):
     text = prose(4000, 8).encode()
     whole = suffix.Anchors(text)
