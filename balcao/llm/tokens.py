@@ -5,6 +5,10 @@ A text starts as one symbol per character. The adjacent pair of the lowest rank
 vocabulary. Only the number of merges is kept: tokens are the initial symbols
 minus the merges, where a character outside the vocabulary counts as its UTF-8
 bytes. No identifier is ever made.
+
+Null texts are empty and have no token. Long texts are counted whole, unit by
+unit. Rows do not depend on each other, other columns are left out, whatever their
+names, and an empty table gives no row.
 """
 
 from __future__ import annotations

@@ -9,6 +9,14 @@ revisit records that refer to it.
 Archives are written by the tasks into a folder that all executors share, each
 under a name of its own attempt; only those named by the committed list of a
 write are read, so a task that is run again leaves no double records.
+
+Page ids are whole numbers or missing. Null payloads are empty; a payload is held
+whole, so one must fit in a task. Of equal payloads the largest id is the
+response, and so is every row that repeats it; a missing id never is, if another
+has the payload. Other columns are left out. An empty table writes no archive.
+Archives too small to train a dictionary on (fewer than 16 records, or 256 KB) have
+no dictionary frame, which the reader allows. It reads what the writer writes:
+other record types, and responses without a length, are refused.
 """
 
 from __future__ import annotations
