@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from balcao.llm.texts import ALNUM, Words, groups, mixed, rolled, utf8
+from balcao.llm.texts import ALNUM, Words, give_back, groups, mixed, rolled, utf8
 from balcao.session import written
 
 WINDOW = 13
@@ -157,6 +157,7 @@ def _candidates(text: Column, bits: np.ndarray, whole_bits: np.ndarray, lengths:
                 })
             n_words += np.diff(words.first).tolist()
             found += by_text
+        give_back()
         kind = pa.list_(pa.struct([("print", pa.int64()), ("place", pa.int32()), ("digest", pa.binary()), ("start", pa.int32()), ("size", pa.int32())]))
         return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(found, kind)], ["n_words", "found"])
 
@@ -201,11 +202,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
         F.col("s.key").alias("hit_key"), F.col("s.text_id").alias("hit_text"), "n_hit", "items"
     )
     hit = written(hit, "hit-rows")
-    rows = docs.select(F.struct("*").alias("row"), *same, _word_count(F.col(text)).alias("n_words"))
+    # Columns stay apart until after the join, so those that are not asked for do not move.
+    own = {f"_own{i}": c for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(o) for o, c in own.items()], *same, _word_count(F.col(text)).alias("n_words"))
     # Merged at any size, as hits grow with the corpus.
     joined = rows.join(hit.hint("merge"), F.col("key").eqNullSafe(F.col("hit_key")) & (F.col("text_id") == F.col("hit_text")), "left")
     return joined.select(
-        "row", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        F.struct(*[F.col(o).alias(c) for o, c in own.items()]).alias("row"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
 
 
@@ -219,6 +222,7 @@ def _word_count(text: Column) -> Column:
             inside = ALNUM.table[data] != 0
             begins = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
             out.append(np.diff(np.searchsorted(begins, at)))
+        give_back()
         return pa.array(np.concatenate(out))
 
     return count(text)

@@ -7,7 +7,9 @@ byte by byte.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +83,20 @@ def groups(texts: pa.Array, limit: int = 4 * PIECE) -> Iterator[tuple[int, int]]
         yield first, len(sizes)
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return memory that is free in this worker to the system; large arrays of one batch else stay with it for good."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 class Words:
     """The words of consecutive texts: bounds in ``data``, hash, and the first word of each text."""
 
