@@ -9,17 +9,11 @@ most a fifth of their union's values differ, and of larger ones but for about 1
 of 10^10 pairs at 0.8 exactly.
 
 Short lists are compared in full. Classes of long lists, which may share no more
-than a common passage, are listed anew by more of their full sets. Those of more
-than SMALL values are listed by bottom-ORDER sketches under TURNS orders of the
-same hash, each turned by a constant: two sets of similarity s meet in one with
-probability s ** 8, so sets that share a few passages hardly ever do (0.03 % of
-all such pairs at 0.2), while a pair of 0.8 is missed in all 125 about once in
-10^10. Smaller sets are listed by single values: sets that are similar have 0.8
-of their values in common, so if each leaves out one less than that, those that
-most of these classes have, they still share one of the rest, and the first they
-share leaves enough behind it in both. Sets of sizes in between are listed both
-ways. Long lists of these are checked against one hub at a time, first the class
-with the longest lists, and lists whose classes are linked already are done, so a
+than a common passage, are listed anew by single values of their full sets: sets
+that are similar have 0.8 of their values in common, so if each leaves out one
+less than that, those that most of these classes have, they still share one of
+the rest, and the first they share leaves enough behind it in both. Long lists of these are checked against one hub at a time, first the class with
+the longest lists, and lists whose classes are linked already are done, so a
 large group of similar classes costs about its size per round, not its square.
 What is still open after HUB_ROUNDS is compared in full. A checked pair passes
 the sizes, then the similarity estimated from the smallest values of both
@@ -42,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from balcao.llm.components import components
-from balcao.llm.texts import SPACED, Words, groups, mixed
+from balcao.llm.texts import PIECE, SPACED, Words, give_back, groups
 from balcao.session import written
 
 SHINGLE = 5
@@ -52,16 +46,13 @@ SKETCH = 64
 HUB_ROUNDS = 1
 #: Lists of so many classes are short.
 SHORT_LIST = 8
-#: Sets of more values than SMALL are listed by turned orders, and sets of up to SMALL values more than a similar one by single values.
-SMALL = 64
-ORDER, TURNS = 8, 125
 #: Larger sets are confirmed only if so many percent of the union's sketch are shared: 11 deviations below 80.
 LEAST_ESTIMATE = 45
 
 
 def shingle_sets(texts: pa.Array, shingle: int):
     """The sorted distinct shingles of each text: all runs of words, or all words where they are fewer."""
-    for first, last in groups(texts):
+    for first, last in groups(texts, PIECE):
         words = Words(texts.slice(first, last - first), SPACED)
         grams, _ = words.grams(shingle)
         grams = grams.view(np.int64)
@@ -87,8 +78,9 @@ def _sketched(text: Column, shingle: int) -> Column:
         for values in shingle_sets(texts, shingle):
             sizes.append(len(values))
             ids.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
-            parts.append(values[:SKETCH])
+            parts.append(values[:SKETCH].copy())  # a view would hold on to the whole set
         ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        give_back()
         sketches = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
         return pa.StructArray.from_arrays(
             [pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), sketches], ["n", "set_id", "sketch"]
@@ -106,39 +98,13 @@ def _full_set(text: Column, shingle: int) -> Column:
     @F.arrow_udf("array<bigint>")
     def full(texts: pa.Array) -> pa.Array:
         sets = list(shingle_sets(texts, shingle))
+        give_back()
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else [], pa.int64()))
 
     return full(text)
 
 
-@lru_cache(maxsize=1)
-def _turns() -> np.ndarray:
-    return mixed(np.arange(1, TURNS + 1, dtype=np.uint64))
-
-
-def turned_sketches(values: np.ndarray) -> np.ndarray:
-    """For each turn a hash of the ORDER values that are smallest after it."""
-    own, out = values.view(np.uint64), []
-    step = max(1, (1 << 20) // len(own))
-    for i in range(0, TURNS, step):
-        turned = own[None, :] ^ _turns()[i : i + step, None]
-        if len(own) > ORDER:
-            turned = np.partition(turned, ORDER - 1, axis=1)[:, :ORDER]
-        out.append(mixed(mixed(turned).sum(axis=1, dtype=np.uint64) + _turns()[i : i + step]))
-    return np.concatenate(out).view(np.int64)
-
-
-def _turned(text: Column, shingle: int) -> Column:
-    @F.arrow_udf("array<bigint>")
-    def turned(texts: pa.Array) -> pa.Array:
-        sets = [turned_sketches(values) if len(values) else values for values in shingle_sets(texts, shingle)]
-        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else [], pa.int64()))
-
-    return turned(text)
-
-
 def _similar(a: Column, b: Column, shingle: int, percent: int) -> Column:
     @F.arrow_udf("boolean")
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -147,6 +113,8 @@ def _similar(a: Column, b: Column, shingle: int, percent: int) -> Column:
             x, y = _set_of(one.as_py(), shingle), _set_of(two.as_py(), shingle)
             both = len(np.intersect1d(x, y, assume_unique=True))
             found.append(bool(100 * both >= percent * (len(x) + len(y) - both)))
+        _set_of.cache_clear()
+        give_back()
         return pa.array(found, pa.bool_())
 
     return similar(a, b)
@@ -204,10 +172,7 @@ class _Search:
         shared = written(own.groupBy("run").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "runs")
         by_run = written(own.join(shared, "run"), "by-run")
         self.texts = self.listed_texts(by_run)
-        long = written(by_run.where(F.col("length") > SHORT_LIST).select("node", "n").distinct(), "long-listed")
-        # A set that is similar to one of SMALL values or less has at most 100 / percent times as many.
-        small = self.rare_values(long.where(100 * SMALL >= self.percent * F.col("n")).select("node"))
-        by_value = written(small.unionByName(self.turned_lists(long.where(F.col("n") > SMALL))), "rare")
+        by_value = written(self.rare_values(by_run.where(F.col("length") > SHORT_LIST).select("node").distinct()), "rare")
         lengths = by_value.groupBy("run").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
         by_value = by_value.join(lengths, "run")
         weights = by_value.groupBy("node").agg(F.sum("length").alias("weight"))
@@ -237,12 +202,6 @@ class _Search:
             F.xxhash64(F.lit("value"), "value").alias("run"), "node", "n", (F.col("place") - 1).cast("long").alias("place")
         )
 
-    def turned_lists(self, nodes: DataFrame) -> DataFrame:
-        """``run, node, n, place``: each of ``nodes`` by its sketch under every turned order."""
-        rows = self.texts.join(nodes, "node")
-        turned = rows.select(F.explode(_turned(F.col("text"), self.shingle)).alias("sketch"), "node", "n")
-        return turned.select(F.xxhash64(F.lit("turn"), "sketch").alias("run"), "node", "n", F.lit(0).cast("long").alias("place"))
-
     def listed_texts(self, lists: DataFrame) -> DataFrame:
         """``node, text`` of the classes in lists, one row each.
 

@@ -140,45 +140,6 @@ def test_a_large_group_of_near_copies_around_one_text(spark):
     assert sorted(tuple(r)[:3] for r in found) == sorted(brute.near_duplicates(rows, 4, 80))
 
 
-def test_common_passages_cost_in_proportion(spark, monkeypatch):
-    """Documents made of a few common passages, hardly any similar: pairs grow as documents do."""
-    rnd = random.Random(1)
-    words = [f"w{i}" for i in range(2000)]
-    passages = [" ".join(rnd.choice(words) for _ in range(30)) for _ in range(60)]
-    pairs, real = [], neardup.written
-
-    def counted(df, label):
-        out = real(df, label)
-        if label == "pairs":
-            pairs[-1] += out.count()
-        return out
-
-    monkeypatch.setattr(neardup, "written", counted)
-    for n in (600, 2000, 4000):
-        rows = [(i, " ".join(rnd.sample(passages, 5))) for i in range(n)]
-        rows += [(10**6 + i, rows[i][1] + " tail") for i in range(20)]
-        pairs.append(0)
-        found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=4).collect()
-        if n == 600:
-            assert sorted(tuple(r)[:3] for r in found) == sorted(brute.near_duplicates(rows, 4, 80))
-    assert pairs[2] < 2.5 * pairs[1]
-
-
-def test_turned_sketches_meet_by_similarity():
-    rng = np.random.default_rng(3)
-    values = np.unique(rng.integers(-(2**62), 2**62, 3000))
-    sketch = neardup.turned_sketches
-    assert (sketch(values) == sketch(values.copy())).all() and len(sketch(values[:3])) == neardup.TURNS
-    for size in (80, 900):
-        near, far = [], []
-        for _ in range(30):
-            own = rng.permutation(values)[: 2 * size]
-            cut = size // 9  # a ninth of each apart: 0.8 of the union shared
-            near.append((sketch(own[:size]) == sketch(own[cut : size + cut])).sum())
-            far.append((sketch(own[:size]) == sketch(own[size * 2 // 3 : size + size * 2 // 3])).sum())
-        assert min(near) >= 4 and 12 < np.mean(near) < 30 and np.mean(far) < 0.5
-
-
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (200, 200), (7, 300)]
     found = {r.node: r.label for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
