@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from balcao import vocab
 from balcao.functions import dates
+from balcao.session import compiled
 
 SALES_COLUMNS = [
     "txn_id", "order_id", "sale_date", "year_month", "year", "month", "customer_id", "product",
@@ -28,23 +29,34 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _joined(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items, dealt out by key while they are narrow if their file has fewer splits than there are cores."""
+    lines, cores = _read(spark, sf_dir, "lineitem"), spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() >= cores:
+        return lines
+    return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
+
+
+def _joined(spark: SparkSession, sf_dir: str, wanted: set[str], dealt: bool = False) -> DataFrame:
     """Item rows with only the tables the wanted columns come from.
 
     No join is hinted: sizes are known from the files, so small sides are
-    broadcast below the engine's threshold and shuffled beyond it.
+    broadcast below the engine's threshold and shuffled beyond it. Places join
+    the orders and parts the bare items, so that wide rows are never moved for
+    a table smaller than the orders.
     """
-    rows = _read(spark, sf_dir, "lineitem")
-    if wanted & _ORDER:
-        rows = rows.join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if wanted & _PLACE:
-        rows = rows.join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if wanted & {"city", "country"}:
-        rows = rows.join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    if "country" in wanted:
-        rows = rows.join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = _lines(spark, sf_dir) if dealt else _read(spark, sf_dir, "lineitem")
     if wanted & _PRODUCT:
         rows = rows.join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if wanted & _ORDER:
+        orders = _read(spark, sf_dir, "orders")
+        if wanted & _PLACE:
+            orders = orders.join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        if wanted & {"city", "country"}:
+            orders = orders.join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        if "country" in wanted:
+            orders = orders.join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows
 
 
@@ -109,7 +121,8 @@ def dirty_feed(spark: SparkSession, sf_dir: str, clashing_ids: bool = False) ->
     its own prime, so classes overlap freely and rows with two faults occur.
     ``clashing_ids`` names rows by order and line only, which repeats often.
     """
-    rows = _joined(spark, sf_dir, set(SALES_COLUMNS))
+    compiled(spark)
+    rows = _joined(spark, sf_dir, set(SALES_COLUMNS), dealt=True)
     rows = rows.withColumn("cents", _cents()).withColumn(
         "k",
         F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17 + F.col("l_partkey") * 7

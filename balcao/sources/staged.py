@@ -1,7 +1,7 @@
 """The driver tables as a job finds them: the feed in a staging table, the sales in a warehouse.
 
-Both are written once per application and folder, in many files, however the
-driver tables are cut.
+Both are written once per application and folder, in as many files as the last
+join has tasks; wide rows are not moved for it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def once(spark: SparkSession, what: str, sf_dir: str, write) -> str:
 def staged_feed(spark: SparkSession, sf_dir: str, clashing_ids: bool = False) -> DataFrame:
     """The raw feed as a staging table."""
     def write(path: str) -> None:
-        dirty_feed(spark, sf_dir, clashing_ids).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        dirty_feed(spark, sf_dir, clashing_ids).write.parquet(path)
 
     return spark.read.parquet(once(spark, "feed-clashing" if clashing_ids else "feed", sf_dir, write))
 
