@@ -6,6 +6,8 @@ reject reason; accepted rows, rejected rows and every census derive from it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,7 +16,7 @@ from balcao import vocab
 from balcao.functions import bloom, dates, money
 from balcao.functions import text as tx
 from balcao.functions.exact import percent
-from balcao.session import written
+from balcao.session import compiled, written
 
 CLEAN_COLUMNS = [
     "txn_id", "order_id", "sale_date", "customer_id", "product", "category", "unit_price",
@@ -101,6 +103,7 @@ def tag(staging: DataFrame) -> DataFrame:
     copies every parsing expression into each filter on ``reason`` and then
     reasons over the copies, which takes it minutes.
     """
+    compiled(staging.sparkSession)
     prepared = _prepared(staging)
     marks = {f"blank_{f}": F.coalesce(F.col(f), F.lit("")) == "" for f in vocab.KEY_FIELDS if f != "unit_price"}
     marks["blank_unit_price"] = tx.is_blank(F.col("raw.unit_price"))
@@ -144,26 +147,34 @@ def accepted(tagged: DataFrame) -> DataFrame:
 
 
 def accepted_rows(staging: DataFrame) -> DataFrame:
-    """``accepted`` of a staging table, moving only the rows whose id repeats.
+    """``accepted`` of a staging table. Rows without an id are never valid."""
+    staged_id = tx.strip(F.col("txn_id"))
+    return _first_rows(staging, staged_id, lambda rows: valid(tag(rows)))
+
+
+def accepted_of(tagged: DataFrame) -> DataFrame:
+    """``accepted`` of written tagged rows."""
+    return _first_rows(tagged.filter("reason is null"), F.col("clean.txn_id"), valid)
+
+
+def _first_rows(rows: DataFrame, id_: Column, valid_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The first valid row of each id, moving only the rows whose id repeats.
 
     Ids are counted as 64-bit hashes, from the id column alone. A Bloom filter of
     the repeated ones, of bounded size, then parts the table: rows outside it are
     the only ones of their id and stay where they are, and the few inside are
     dedup'ed. An id that only seems repeated costs its move; none is missed.
-    Rows without an id are never valid.
     """
-    staged_id = tx.strip(F.col("txn_id"))
-    hashes = staging.filter(staged_id != "").select(F.xxhash64(staged_id).alias("id"))
+    hashes = rows.filter(id_ != "").select(F.xxhash64(id_).alias("id"))
     counts = hashes.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     repeated = written(counts.filter("n > 1").select("id"), "repeated-ids")
     n = repeated.count()
     if not n:
-        return valid(tag(staging))
+        return valid_of(rows)
     bits = bloom.size_for(n)
     words = written(bloom.build(repeated, "id", bits), "repeated-filter")
-    repeats = bloom.might_hold(words.scalar(), F.xxhash64(staged_id), bits)
-    alone = valid(tag(staging.filter(~repeats)))
-    return alone.unionByName(dedup_keep_first(valid(tag(staging.filter(repeats)))))
+    repeats = bloom.might_hold(words.scalar(), F.xxhash64(id_), bits)
+    return valid_of(rows.filter(~repeats)).unionByName(dedup_keep_first(valid_of(rows.filter(repeats))))
 
 
 def duplicate_census(staging: DataFrame) -> DataFrame:
@@ -289,29 +300,40 @@ def load_report(tagged: DataFrame) -> DataFrame:
 
     Blank fields per column, date and money forms, reject reasons, and how many
     distinct categories and statuses there are as written and as loaded. Each row
-    unfolds to its facts, which are counted before they move; malformed lines
-    have no fields and count as a reason only.
+    unfolds to three facts (its forms, its category, its status), which are
+    counted before they move and only then told apart; malformed lines have no
+    fields and count as a reason only.
     """
     whole = F.col("reason").isNull() | (F.col("reason") != vocab.MALFORMED)
-    told = {
-        "reason": F.col("reason"),
-        "date form": F.when(whole, dates.date_form(F.col("raw.sale_date"))),
-        "money form": F.when(whole, money.money_form(F.col("raw.unit_price"))),
-    }
-    distinct = {}
-    for name in ("category", "status"):
-        distinct[f"{name} as written"] = F.when(whole, F.coalesce(tx.strip(F.col(f"raw.{name}")), F.lit("")))
-        distinct[f"{name} as loaded"] = F.when(F.col("reason").isNull(), F.col(f"clean.{name}"))
-    facts = [F.struct(F.lit(t).alias("topic"), item.alias("item")) for t, item in {**told, **distinct}.items()]
-    facts += [
-        F.struct(F.lit("blank").alias("topic"), F.when(whole & tx.is_blank(F.col(f"raw.{c}")), c).alias("item"))
-        for c in vocab.STAGING_COLUMNS
+    blank = F.concat(*[F.when(whole & tx.is_blank(F.col(f"raw.{c}")), "1").otherwise("0") for c in vocab.STAGING_COLUMNS])
+    no_text = F.lit(None).cast("string")
+
+    def fact(kind: str, *texts: Column) -> Column:
+        padded = [*texts, *[no_text] * (4 - len(texts))]
+        return F.struct(F.lit(kind).alias("kind"), *[t.alias(f"t{i}") for i, t in enumerate(padded)])
+
+    pairs = ("category", "status")
+    facts = [fact(
+        "forms", F.col("reason"), F.when(whole, dates.date_form(F.col("raw.sale_date"))),
+        F.when(whole, money.money_form(F.col("raw.unit_price"))), blank,
+    )]
+    for name in pairs:
+        as_written = F.when(whole, F.coalesce(tx.strip(F.col(f"raw.{name}")), F.lit("")))
+        facts.append(fact(name, as_written, F.when(F.col("reason").isNull(), F.col(f"clean.{name}"))))
+    keys = ["kind", "t0", "t1", "t2", "t3"]
+    told = tagged.select(F.inline(F.array(*facts))).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+    def item(topic: Column, kind: str, text: Column) -> Column:
+        return F.struct(topic.alias("topic"), F.when(F.col("kind") == kind, text).alias("item"))
+
+    items = [item(F.lit(t), "forms", F.col(c)) for t, c in (("reason", "t0"), ("date form", "t1"), ("money form", "t2"))]
+    items += [
+        item(F.lit("blank"), "forms", F.when(F.substring("t3", i + 1, 1) == "1", c)) for i, c in enumerate(vocab.STAGING_COLUMNS)
     ]
-    counts = (
-        tagged.select(F.inline(F.array(*facts))).filter("item is not null")
-        .groupBy("topic", "item").agg(F.count(F.lit(1)).alias("n"))
-    )
-    spread = F.col("topic").isin(*distinct)
+    spreads = {f"{name} as {how}": (name, c) for name in pairs for how, c in (("written", "t0"), ("loaded", "t1"))}
+    items += [item(F.lit(topic), name, F.col(c)) for topic, (name, c) in spreads.items()]
+    counts = told.select("n", F.inline(F.array(*items))).filter("item is not null").groupBy("topic", "item").agg(F.sum("n").alias("n"))
+    spread = F.col("topic").isin(*spreads)
     return counts.groupBy(
         F.when(spread, "distinct").otherwise(F.col("topic")).alias("topic"),
         F.when(spread, F.col("topic")).otherwise(F.col("item")).alias("item"),
