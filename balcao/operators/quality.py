@@ -42,6 +42,7 @@ def _prepared(staging: DataFrame) -> DataFrame:
         F.struct(*vocab.STAGING_COLUMNS).alias("raw"),
         *[tx.strip(F.col(c)).alias(c) for c in vocab.STAGING_COLUMNS if c not in ("unit_price", "location")],
         money.bare_amount(F.col("unit_price")).alias("unit_price"),
+        tx.is_blank(F.col("unit_price")).alias("blank_unit_price"),
         tx.location_parts(F.col("location")).alias("parts"),
     )
     return stripped.withColumns(
@@ -107,7 +108,8 @@ def tag(staging: DataFrame, *columns: str) -> DataFrame:
     compiled(staging.sparkSession)
     prepared = _prepared(staging)
     marks = {f"blank_{f}": F.coalesce(F.col(f), F.lit("")) == "" for f in vocab.KEY_FIELDS if f != "unit_price"}
-    marks["blank_unit_price"] = tx.is_blank(F.col("raw.unit_price"))
+    # Not from ``raw``, which would then be made for readers without it, too.
+    marks["blank_unit_price"] = F.col("blank_unit_price")
     marks["negative"] = money.negative_of(F.col("unit_price"))
     unread = [c for c in _UNJUDGED if columns and c not in columns]
     fields = {**{name: c for name, c in _typed().items() if name not in unread}, **marks}

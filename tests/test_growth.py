@@ -46,6 +46,8 @@ def test_wide_feed_rows_are_not_moved(spark, tmp_path):
 
 @pytest.mark.parametrize("name, columns", [
     ("dim_calendar", ["txn_id", "sale_date", "ordinal"]),
+    ("split_accepted", [*quality.CLEAN_COLUMNS, "ordinal"]),
+    ("status_domain", ["txn_id", "status", "ordinal"]),
 ])
 def test_accepted_rows_are_judged_once_and_no_wider_than_read(spark, tmp_path, monkeypatch, name, columns):
     monkeypatch.setattr(staged, "_STAGED", {})
