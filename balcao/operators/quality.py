@@ -159,9 +159,10 @@ def accepted_rows(staging: DataFrame, *columns: str) -> DataFrame:
     return found.select(*columns) if columns else found
 
 
-def accepted_of(tagged: DataFrame) -> DataFrame:
-    """``accepted`` of written tagged rows."""
-    return _first_rows(valid(tagged))
+def accepted_of(tagged: DataFrame, *columns: str) -> DataFrame:
+    """``accepted`` of written tagged rows, or only ``columns`` of it."""
+    found = _first_rows(valid(tagged, *columns))
+    return found.select(*columns) if columns else found
 
 
 def _first_rows(rows: DataFrame) -> DataFrame:

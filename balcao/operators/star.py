@@ -9,6 +9,10 @@ from balcao import vocab
 from balcao.functions.dates import year_month
 from balcao.operators.ordered import number_rows
 
+NATURAL_KEYS = {
+    "customer_key": ["customer_id"], "product_key": ["product", "category"], "location_key": ["city", "state", "country"],
+}
+
 
 def dim_calendar(days: DataFrame, horizon_months: int = vocab.HORIZON) -> DataFrame:
     """One row per day from the first month with data to ``horizon_months`` past the last.
@@ -124,28 +128,31 @@ def status_summary(sales: DataFrame) -> DataFrame:
 
 
 def constraint_violations(
-    fact: DataFrame, calendar: DataFrame, customers: DataFrame, products: DataFrame, locations: DataFrame
+    fact: DataFrame, calendar: DataFrame, customers: DataFrame, products: DataFrame, locations: DataFrame, natural: bool = False
 ) -> DataFrame:
     """Rows breaking each table constraint: repeated keys, orphans (rows without a key too), bad ranges.
 
-    The fact is read once per key and once for all ranges, so it should be written.
+    A fact that has no dimension keys yet refers to the dimensions by their ``natural`` ones. The fact is read once per
+    key and once for all ranges, so it should be written. Its rows are counted per key before they meet a dimension.
     """
+    keys = NATURAL_KEYS if natural else {key: [key] for key in NATURAL_KEYS}
+
     def repeats(df: DataFrame, *keys: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select((F.col("n") - 1).alias("n"))
 
-    def orphans(key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-        used = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        return used.join(dim.select(F.col(dim_key).alias(key)), key, "left_anti").select("n")
+    def orphans(key: list[str], dim: DataFrame) -> DataFrame:
+        used = fact.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        return used.join(dim.select(*key), key, "left_anti").select("n")
 
     checks = {
         "fact txn_id repeated": repeats(fact, "txn_id"),
         "customer repeated": repeats(customers, "customer_id"),
         "product repeated": repeats(products, "product", "category"),
         "location repeated": repeats(locations, "city", "state", "country"),
-        "date outside calendar": orphans("sale_date", calendar, "day"),
-        "customer orphan": orphans("customer_key", customers, "customer_key"),
-        "product orphan": orphans("product_key", products, "product_key"),
-        "location orphan": orphans("location_key", locations, "location_key"),
+        "date outside calendar": orphans(["sale_date"], calendar.withColumnRenamed("day", "sale_date")),
+        "customer orphan": orphans(keys["customer_key"], customers),
+        "product orphan": orphans(keys["product_key"], products),
+        "location orphan": orphans(keys["location_key"], locations),
     }
     ranges = fact.agg(
         F.count_if(F.col("quantity") <= 0).alias("quantity not positive"),

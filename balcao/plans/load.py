@@ -24,14 +24,18 @@ def dimensions(accepted: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def star_from(accepted: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions and fact from accepted rows, which should be a written table.
+def written_dimensions(accepted: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions, those with keys written before anything joins them.
 
-    Dimensions with keys are written before the fact joins them: a plan's guess
-    of their size is so large that the fact would be moved by a few places.
+    A plan's guess of their size is so large that a fact would be moved by a few places.
     """
     tables = dimensions(accepted)
-    tables |= {name: written(tables[name], name) for name in DIMENSIONS}
+    return tables | {name: written(tables[name], name) for name in DIMENSIONS}
+
+
+def star_from(accepted: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions and fact from accepted rows, which should be a written table."""
+    tables = written_dimensions(accepted)
     return {**tables, "fact_sales": star.load_fact(accepted, *(tables[name] for name in DIMENSIONS))}
 
 

@@ -61,6 +61,18 @@ def test_accepted_rows_are_judged_once_and_no_wider_than_read(spark, tmp_path, m
     assert not staged._STAGED and len(calls) == 1 and tables["valid"] == columns and "accepted" not in tables
 
 
+def test_violations_of_a_feed_judge_its_rows_once_and_join_none(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staged, "_STAGED", {})
+    folder = write_tables(tmp_path / "t", hot_customer())
+    calls, labels, tag, write = [], [], quality.tag, catalog.written
+    monkeypatch.setattr(quality, "tag", lambda *a: calls.append(1) or tag(*a))
+    monkeypatch.setattr(catalog, "written", lambda df, label: labels.append(label) or write(df, label))
+    found = {r["constraint"]: r["violations"] for r in catalog.QUERIES["constraint_violations_dirty"](spark, folder).collect()}
+    assert not staged._STAGED and len(calls) == 1 and labels == ["tagged", "accepted"]
+    rows = tag(dirty_feed(spark, folder)).select("clean.*")
+    assert found["customer orphan"] == rows.filter("customer_id is null").count() > 0 and found["customer repeated"] == 0
+
+
 def test_fact_is_not_moved_for_small_dimensions(spark, tmp_path):
     path = str(tmp_path / "accepted")
     _sales(spark).write.parquet(path)
