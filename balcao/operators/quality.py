@@ -166,36 +166,42 @@ def accepted_of(tagged: DataFrame, *columns: str) -> DataFrame:
 
 
 def _first_rows(rows: DataFrame) -> DataFrame:
-    """The first of the written valid rows of each id, moving only the rows whose id repeats.
+    """The first of the written valid rows of each id, moving only the rows whose id repeats."""
+    repeats = _seems_repeated(rows)
+    if repeats is None:
+        return rows
+    return rows.filter(~repeats).unionByName(dedup_keep_first(rows.filter(repeats)))
+
+
+def _seems_repeated(rows: DataFrame) -> Column | None:
+    """Whether other written rows may have a row's ``txn_id`` too; None if no id repeats.
 
     Ids are counted as 64-bit hashes, from the id column alone. A Bloom filter of
     the repeated ones, of bounded size, then parts the table: rows outside it are
-    the only ones of their id and stay where they are, and the few inside are
-    dedup'ed. An id that only seems repeated costs its move; none is missed.
+    the only ones of their id and stay where they are, and only those inside need
+    to move. An id that only seems repeated costs its move; none is missed.
     """
     id_ = F.col("txn_id")
-    hashes = rows.filter(id_ != "").select(F.xxhash64(id_).alias("id"))
+    hashes = rows.filter(id_.isNotNull()).select(F.xxhash64(id_).alias("id"))
     counts = hashes.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     repeated = written(counts.filter("n > 1").select("id"), "repeated-ids")
     n = repeated.count()
     if not n:
-        return rows
+        return None
     bits = bloom.size_for(n)
     words = written(bloom.build(repeated, "id", bits), "repeated-filter")
-    repeats = bloom.might_hold(words.scalar(), F.xxhash64(id_), bits)
-    return rows.filter(~repeats).unionByName(dedup_keep_first(rows.filter(repeats)))
+    return bloom.might_hold(words.scalar(), F.xxhash64(id_), bits)
 
 
 def duplicate_census(staging: DataFrame) -> DataFrame:
-    """Rows whose non-null transaction id occurs more than once, per id.
+    """Rows of a written staging table whose non-null transaction id occurs more than once, per id.
 
-    Counting per id keeps hot ids mergeable; the rows follow by a join.
+    Only rows that may repeat are counted by id and joined with the counts; hot ids stay mergeable.
     """
-    repeated = (
-        staging.filter("txn_id is not null").groupBy("txn_id")
-        .agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    )
-    return staging.select(*vocab.STAGING_COLUMNS).join(repeated, "txn_id")
+    repeats = _seems_repeated(staging)
+    rows = staging.filter("txn_id is not null").filter(F.lit(False) if repeats is None else repeats)
+    repeated = rows.groupBy("txn_id").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    return rows.select(*vocab.STAGING_COLUMNS).join(repeated, "txn_id")
 
 
 def load_balance(tagged: DataFrame) -> DataFrame:

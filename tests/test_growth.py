@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from plans import fixed_plans, metric
+from pyspark.sql import functions as F
 from scenarios import hot_customer, write_tables
 
 from balcao import vocab
@@ -77,6 +78,20 @@ def test_violations_of_a_feed_judge_its_rows_once_and_join_none(spark, tmp_path,
     assert found["customer orphan"] == rows.filter("customer_id is null").count() > 0 and found["customer repeated"] == 0
 
 
+def test_census_of_repeats_moves_only_rows_that_may_repeat(spark, tmp_path):
+    ids = [f"t{i}" for i in range(2000)] + ["t7", "t7", "", "", None, None]
+    others = [c for c in vocab.STAGING_COLUMNS if c != "txn_id"]
+    feed = spark.createDataFrame([(i,) for i in ids], "txn_id string").select("txn_id", *[F.lit("x").alias(c) for c in others])
+    feed.write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    found = quality.duplicate_census(feed)
+    assert found.columns == [*vocab.STAGING_COLUMNS, "copies"]
+    assert sorted((r["txn_id"], r["copies"]) for r in found.collect()) == [("", 2)] * 2 + [("t7", 3)] * 3
+    with fixed_plans(spark):
+        assert metric(quality.duplicate_census(feed), "ShuffleExchangeExec", "shuffleRecordsWritten") < 100
+    assert quality.duplicate_census(feed.filter("txn_id > 't8'")).count() == 0
+
+
 def test_fact_is_not_moved_for_small_dimensions(spark, tmp_path):
     path = str(tmp_path / "accepted")
     _sales(spark).write.parquet(path)
