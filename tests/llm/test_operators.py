@@ -59,7 +59,9 @@ def test_query(spark, name):
             repr(tuple(r)) for r in found.select(*columns).collect()
         ) == sorted(map(repr, want))
     else:
-        assert queries.QUERIES[name](spark, SMALL).count() == 200
+        found = queries.QUERIES[name](spark, SMALL)
+        # One row per document; op13 gives one per piece, and every document has a first piece.
+        assert (found.where("piece = 0") if "piece" in found.columns else found).count() == 200
 
 
 def test_language_is_right_on_held_out_documents(spark):
