@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from scenarios import hot_customer, write_tables
 
-from balcao import session
+from balcao import session, vocab
 from balcao.plans import catalog
-from balcao.sources import staged
+from balcao.sources import raw, staged
 
 
 def _left(spark, run):
@@ -62,3 +62,25 @@ def test_tables_of_a_step_go_also_when_it_fails(spark):
             1 / session.written(spark.range(3), "gone").filter("id > 5").count()
 
     assert _left(spark, fail)[0] == ["kept"]
+
+
+def test_only_lines_of_records_of_several_move(spark, tmp_path, monkeypatch):
+    fields = ["o", "2024-01-02", "c", "p", "k", "9.5", "2", "a/b/c", "PIX", "Entregue"]
+    rows = [",".join([f"T{i}", *fields]) for i in range(3000)]
+    rows[1500] = rows[1500].replace(",p,", ',"p\n1,2,3\nq",')
+    (tmp_path / "feed.csv").write_text("\n".join([",".join(vocab.RAW_HEADERS), *rows]) + "\n")
+    plans, sizes, write = {}, {}, raw.written
+
+    def spied(df, label):
+        if "line" in df.columns:
+            plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        out = write(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(raw, "written", spied)
+    found = raw.read_raw_sales(spark, str(tmp_path / "feed.csv"))
+    assert found.filter("malformed is null").count() == 3000
+    assert found.filter("txn_id = 'T1500'").first()["product"] == "p\n1,2,3\nq"
+    assert not any("Window" in plan for plan in plans.values())
+    assert sizes["torn-records"] < 10
