@@ -35,6 +35,12 @@ def test_a_house_is_all_that_its_build_leaves(spark, tables, monkeypatch, name):
     assert found.collect() is not None
 
 
+@pytest.mark.parametrize("name", ["load_pipeline", "layer_counts"])
+def test_a_load_leaves_its_warehouse(spark, tables, name):
+    left, found = _left(spark, lambda: catalog.QUERIES[name](spark, tables))
+    assert left == ["warehouse"] and found.count() > 0
+
+
 def _shuffled(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
